@@ -25,9 +25,9 @@ def with_params(df: DataFrame, margins: dict[str, float], months: list[int], he_
             .withColumn("he_min", F.lit(he_min)).withColumn("he_max", F.lit(he_max)))
 
 
-def every_hour(points: DataFrame, variants=clock.VARIANTS) -> DataFrame:
-    """zone, candidate_hour, variant: each hour once per variant."""
-    return points.select("zone", F.col("interval_start").alias("candidate_hour"),
+def every_hour(points: DataFrame, variants=clock.VARIANTS, carry: list[str] | None = None) -> DataFrame:
+    """zone, candidate_hour, variant and the carried columns: each hour once per variant."""
+    return points.select("zone", F.col("interval_start").alias("candidate_hour"), *(carry or []),
                          F.explode(F.array(*[F.lit(v) for v in variants])).alias("variant"))
 
 
@@ -97,22 +97,25 @@ def reason_kind() -> Column:
             .when(F.col("bar").isNull(), "warm_up").when(F.col("risk"), "reaches").otherwise("below"))
 
 
-def decide(candidates: DataFrame, points: DataFrame, daily: DataFrame | None = None) -> DataFrame:
-    """``candidates``: zone, variant, candidate_hour, margin, months, he_min, he_max, and columns to carry along.
+def evidence(candidates: DataFrame, points: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+    """``candidates``: zone, variant, candidate_hour, months, he_min, he_max, and columns to carry along.
 
-    Adds decided_at, in_window, base_year, estimate, bar, risk. The order of the tests is: outside the window, nothing to
-    estimate from, no bar yet, then the comparison. Filter on ``in_window`` where outside hours are not needed: the
-    filter moves below the joins.
+    Adds decided_at, in_window, base_year, estimate, bar. The order of the tests is: outside the window, nothing to estimate
+    from, no bar yet. Filter on ``in_window`` where outside hours are not needed: the filter moves below the joins.
     """
     daily = series.daily_peaks(points) if daily is None else daily
     start = F.col("candidate_hour")
     timed = (candidates.withColumn("decided_at", clock.decision_time(F.col("variant"), start))
              .withColumn("in_window", clock.in_window(start, F.col("months"), F.col("he_min"), F.col("he_max"))))
-    looked_up = (known_bars(estimates(timed, points, daily), series.bars(daily))
-                 .withColumn("estimate", F.when(F.col("in_window"), F.col("estimate")))
-                 .withColumn("bar", F.when(F.col("estimate").isNotNull(), F.col("bar"))))
+    return (known_bars(estimates(timed, points, daily), series.bars(daily))
+            .withColumn("estimate", F.when(F.col("in_window"), F.col("estimate")))
+            .withColumn("bar", F.when(F.col("estimate").isNotNull(), F.col("bar"))))
+
+
+def decide(candidates: DataFrame, points: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+    """As ``evidence``, for candidates that also carry ``margin``; adds ``risk``."""
     hit = flagged(F.col("estimate"), F.col("margin"), F.col("bar"))
-    return looked_up.withColumn("risk", F.coalesce(hit, F.lit(False)))
+    return evidence(candidates, points, daily).withColumn("risk", F.coalesce(hit, F.lit(False)))
 
 
 def signal_rows(decisions: DataFrame, evaluated_at: Column) -> DataFrame:

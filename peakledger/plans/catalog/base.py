@@ -77,3 +77,10 @@ files AS (
 SAMPLES = """
 samples AS (
   SELECT ts, event_type AS service, user_id % 6 AS partition, value, event_id AS sample_id FROM events)"""
+
+
+def ratio_sql(top: str, bottom: str, scale: int) -> str:
+    """top / bottom rounded half to even at 1/scale, in whole numbers."""
+    a, b = f"(({top}) * {scale})::HUGEINT", f"({bottom})::HUGEINT"
+    up = f"CASE WHEN 2 * ({a} % {b}) > {b} OR (2 * ({a} % {b}) = {b} AND ({a} // {b}) % 2 = 1) THEN 1 ELSE 0 END"
+    return f"(({a} // {b} + {up})::DOUBLE / {scale})"
