@@ -66,13 +66,14 @@ readings AS (
 
 FILES = """
 files AS (
-  SELECT report, 'PUB_' || report || '_' || strftime(hour, '%Y%m%d%H')
+  SELECT report, 'PUB_' || report || '_' || strftime(week, '%Y%m%d%H')
            || CASE WHEN l_tax = 0 THEN '' ELSE '_v' || (l_linenumber + 7 * (l_suppkey % 2)) END
            || CASE WHEN report = 'ICIDemand' THEN '.csv' ELSE '.xml' END AS name,
          hour + to_minutes(CAST(l_orderkey % 60 AS BIGINT)) AS published_at,
          l_linestatus AS state, l_returnflag AS flag
   FROM (SELECT *, ['RealtimeTotals', 'PredispTotals', 'ICIDemand'][l_orderkey % 3 + 1] AS report,
-               l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)) AS hour FROM lineitem))"""
+               l_shipdate + to_hours(CAST(l_partkey % 24 AS BIGINT)) AS hour,
+               date_trunc('week', l_shipdate) + to_hours(CAST(l_partkey % 4 * 6 AS BIGINT)) AS week FROM lineitem))"""
 
 SAMPLES = """
 samples AS (

@@ -67,14 +67,16 @@ def fine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A listing with repeats: report, name, published_at, state (line status), flag (return flag).
 
-    Tax-free items are unversioned base files; hour stamps come from the ship date.
+    Tax-free items are unversioned base files; hour stamps come from the week of the ship date.
     """
     items = table(spark, sf_dir, "lineitem")
     report = _report(F.col("l_orderkey"))
     ext = names.lookup(names.EXTENSION, report)
     version = (F.col("l_linenumber") + 7 * (F.col("l_suppkey") % 2)).cast("string")
     hour = F.col("l_shipdate") + clock.hours((F.col("l_partkey") % 24).cast("int"))
-    stamp = F.date_format(hour, "yyyyMMddHH")
+    # Four groups a week, so that groups fill up.
+    week = F.date_trunc("week", "l_shipdate").cast("timestamp_ntz") + clock.hours((F.col("l_partkey") % 4 * 6).cast("int"))
+    stamp = F.date_format(week, "yyyyMMddHH")
     suffix = F.when(F.col("l_tax") == 0, "").otherwise(F.concat(F.lit("_v"), version))
     return items.select(
         report.alias("report"), F.concat(F.lit("PUB_"), report, F.lit("_"), stamp, suffix, F.lit("."), ext).alias("name"),
@@ -87,3 +89,47 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "ts", F.col("event_type").alias("service"), (F.col("user_id") % 6).alias("partition"),
         F.col("value").alias("value"), F.col("event_id").alias("sample_id"))
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id, value: one contract message per event, whole for ids ending in 0 and damaged in a fixed way for the others."""
+    rows = table(spark, sf_dir, "events")
+    second = F.date_format("ts", clock.ISO)
+    hour = F.date_format(F.date_trunc("hour", "ts"), clock.ISO)
+    text = F.concat(
+        F.lit('{"schema_version":1,"report":"'), _report(F.col("event_id")), F.lit('","measure":"ontario_demand","interval_start":"'),
+        hour, F.lit('","zone":"ONTARIO","version":'), (F.col("user_id") + 1).cast("string"), F.lit(',"value_mw":'),
+        F.col("value").cast("string"), F.lit(',"published_at":"'), second, F.lit('","ingested_at":"'), second,
+        F.lit('","source_uri":"raw/'), F.col("event_type"), F.lit('","content_sha256":"'), F.sha2("props", 256),
+        F.lit('","reason":"live"}'))
+    t, damage = F.col("text"), F.col("event_id") % 10
+    value = (F.when(damage == 1, F.regexp_replace(t, '"value_mw":([^,]*),', '"value_mw":"$1",'))
+             .when(damage == 2, F.replace(t, F.lit(',"reason":"live"'), F.lit("")))
+             .when(damage == 3, F.replace(t, F.lit('"reason"'), F.lit('"note":1,"reason"')))
+             .when(damage == 4, F.expr("left(text, length(text) - 1)"))
+             .when(damage == 5, F.replace(t, F.lit("T"), F.lit(" ")))
+             .when(damage == 6, F.regexp_replace(t, r'"version":\d+', '"version":0'))
+             .when(damage == 7, F.lit("[1]"))
+             .when(damage == 8, F.regexp_replace(t, r'"version":\d+', '"version":1.5'))
+             .when(damage == 9, F.replace(t, F.lit('"ONTARIO"'), F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))))
+             .otherwise(t))
+    return rows.withColumn("text", text).select("event_id", value.alias("value"))
+
+
+def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """topic, partition, high, low, position, committed; -1001 stands for an unknown offset."""
+    part = F.col("user_id") % 6
+    counts = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("topic"), part.alias("partition")).agg(
+        F.count(F.lit(1)).alias("high"), F.count_if(F.col("value") < 60).alias("p"), F.count_if(F.col("value") < 40).alias("c"))
+    third = F.col("partition") % 3
+    return counts.select("topic", "partition", "high", F.lit(0).alias("low"),
+                         F.when(third == 0, F.col("p")).otherwise(F.lit(-1001)).alias("position"),
+                         F.when(third < 2, F.col("c")).otherwise(F.lit(-1001)).alias("committed"))
+
+
+def load_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load-test samples: run (service and day), elapsed_s, replicas, lag."""
+    second = clock.seconds_between(F.date_trunc("day", "ts").cast("timestamp_ntz"), F.col("ts"))
+    return table(spark, sf_dir, "events").select(
+        F.concat_ws("/", "event_type", F.date_format("ts", "yyyy-MM-dd")).alias("run"), F.floor(second).cast("bigint").alias("elapsed_s"),
+        (F.col("user_id") % 7).alias("replicas"), F.greatest(F.lit(0), F.floor("value") - 30).alias("lag"))
