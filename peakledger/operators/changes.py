@@ -8,8 +8,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from peakledger.functions.events import CURRENT_KEY, RAW_KEY
+from peakledger.functions.shipping import by_value
 from peakledger.operators.skew import previous, split_hot_groups
 
+by_value(__name__)
+
 VERSION_ORDER = ["version", "ingested_at", "published_at", "source_uri", "value_mw"]
 ARRIVAL_ORDER = ["ingested_at", "published_at", "version", "source_uri", "value_mw"]
 STATE = "report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double"
@@ -165,15 +168,19 @@ def _slice_starts(hot: DataFrame, order: list[str]) -> DataFrame:
     schema = ("report string, interval_start timestamp_ntz, zone string, _slice int, lo bigint, hi bigint, x1 double, "
               "v1 bigint, w1 double, v2 bigint, w2 double")
     # caps: one row per slice of a hot key, at most SHARES plus one per range partition
-    pieces = (hot.select(*keys, *order, "_seed").join(F.broadcast(caps), keys).repartition(*keys)
+    needed = [c for c in dict.fromkeys([*keys, *order, "version", "value_mw", "_seed"])]
+    pieces = (hot.select(*needed).join(F.broadcast(caps), keys).repartition(*keys)
               .sortWithinPartitions(*keys, "_seed", *order).mapInArrow(_summarizer(keys, fields), schema))
     return pieces.groupBy(*CURRENT_KEY).applyInPandas(
         _fold, "report string, interval_start timestamp_ntz, zone string, _slice int, _from_version bigint, _from_value double")
 
 
-def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, floor: int | None = None) -> DataFrame:
+def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, floor: int | None = None,
+                          order: list[str] | None = None) -> DataFrame:
     """The events that are news, each with the state after it (state_version, state_value).
 
+    ``order`` names the columns of arrival; it must be total up to exact copies.
+
     ``state`` holds one row per interval (columns of STATE) from earlier runs. State rows ride along as the first row of
     their key, so one shuffle serves both. An interval with very many events is cut into slices: each slice is reduced to
     what it does to any incoming state, the reductions are chained per interval, then all slices run at once.
@@ -181,7 +188,7 @@ def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, flo
     rows = events.withColumn("_seed", F.lit(1))
     if state is not None:
         rows = rows.unionByName(state.withColumn("_seed", F.lit(0)), allowMissingColumns=True)
-    order = list(dict.fromkeys(ARRIVAL_ORDER))
+    order = order or ARRIVAL_ORDER
     cold, hot = split_hot_groups(rows, CURRENT_KEY, ["_seed", *order], floor)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema) + ", state_version bigint, state_value double"
 
@@ -197,10 +204,8 @@ def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, flo
     return news.unionByName(replay(hot.join(starts, CURRENT_KEY + ["_slice"]), CURRENT_KEY + ["_slice"]))
 
 
-def state_after(news: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """The state table after the news: the last state of each interval, earlier rows where nothing was new."""
-    last = news.groupBy(*CURRENT_KEY).agg(F.max_by(F.struct("state_version", "state_value"), F.struct(*ARRIVAL_ORDER)).alias("s"))
-    moved = last.select(*CURRENT_KEY, F.col("s.state_version").alias("version"), F.col("s.state_value").alias("value_mw"))
-    if state is None:
-        return moved
-    return moved.unionByName(state.join(moved.select(*CURRENT_KEY), CURRENT_KEY, "left_anti"))
+def moved_state(news: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """The last state of each interval that had news, in the columns of STATE."""
+    last = news.groupBy(*CURRENT_KEY).agg(
+        F.max_by(F.struct("state_version", "state_value"), F.struct(*(order or ARRIVAL_ORDER))).alias("s"))
+    return last.select(*CURRENT_KEY, F.col("s.state_version").alias("version"), F.col("s.state_value").alias("value_mw"))
