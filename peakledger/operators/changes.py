@@ -36,7 +36,7 @@ def silent_restatements(events: DataFrame) -> DataFrame:
 # State per interval: the last (version, value) that moved it. An event is news when its value differs from the state's;
 # news moves the state unless its version is older. With no state yet, anything is news.
 
-_NONE = (-(2 ** 63), float("nan"))  # older than any version, equal to no value
+_NONE = (-(2 ** 62), float("nan"))  # older than any version, equal to no value
 
 
 def _step(state, version, value):
