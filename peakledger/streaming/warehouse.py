@@ -96,7 +96,8 @@ class Warehouse:
         return self.rows(SIGNALS)
 
     def runs(self) -> DataFrame:
-        return merge.best(self.rows(RUNS), ["run_key"], ["-recorded_at"])
+        """One row per run_key, the one written last."""
+        return merge.best(self.rows(RUNS, numbered=True), ["run_key"], ["-commit"]).drop("commit")
 
     def state(self, first: date = FIRST, last: date = LAST) -> DataFrame:
         """The producer's last (version, value) per interval: that of the latest commit."""
@@ -132,7 +133,7 @@ class Warehouse:
         return True
 
     def record_run(self, row: DataFrame) -> None:
-        """One row per run_key: a rerun's row is newer and wins."""
+        """Add a run's row; a rerun's row takes the place of the earlier one."""
         self._commit({RUNS: (row, "append", FIRST, LAST)})
 
     def append(self, parts: dict[str, DataFrame], source: str = "", batch_id: int = -1) -> None:

@@ -6,11 +6,11 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def session():
+def session(partitions=8):
     from pyspark.sql import SparkSession
     spark = (SparkSession.builder.master("local[8]").appName("peakledger-tests")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
-             .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.shuffle.partitions", str(partitions)).config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -18,4 +18,4 @@ def session():
 
 @pytest.fixture(scope="session")
 def spark():
-    return session()
+    return session(4)
