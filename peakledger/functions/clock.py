@@ -14,9 +14,6 @@ STALENESS = {"persist2": 2, "persist4": 4}  # hours between the newest usable re
 VARIANTS = ("oracle", "persist2", "persist4", "day_ahead")
 LIVE_VARIANTS = ("persist2", "persist4", "day_ahead")
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
-
 def hours(n) -> Column:
     """An interval of ``n`` hours; ``n`` is an int or an integer column."""
     return F.make_dt_interval(hours=n if isinstance(n, Column) else F.lit(n))
@@ -80,7 +77,28 @@ def notice_hours(candidate: Column, decided_at: Column) -> Column:
 
 
 def iso(moment: Column) -> Column:
-    return F.date_format(moment, ISO)
+    """ISO second in UTC. Built from the plain text form: date_format would go through the session time zone."""
+    text = moment.cast("string")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("Z"))
+
+
+def hour_stamp(moment: Column) -> Column:
+    """yyyyMMddHH."""
+    number = ((F.year(moment) * 100 + F.month(moment)) * 100 + F.day(moment)) * 100 + F.hour(moment)
+    return number.cast("string")
+
+
+def hour_of(moment: Column) -> Column:
+    """Start of the hour. date_trunc would go through the session time zone."""
+    return midnight_of(moment) + hours(F.hour(moment))
+
+
+def minute_of(moment: Column) -> Column:
+    return midnight_of(moment) + minutes(F.hour(moment) * 60 + F.minute(moment))
+
+
+def midnight_of(moment: Column) -> Column:
+    return moment.cast("date").cast("timestamp_ntz")
 
 
 def parse_iso(text: Column) -> Column:

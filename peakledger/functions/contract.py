@@ -1,6 +1,6 @@
 """The event contract: twelve required fields, no others, strict JSON types.
 
-``violations`` answers, per message, which rules are broken; an empty array means the message is good.
+``check`` answers, per message, which rules are broken; an empty array means the message is good.
 Types are read from the variant, because a cast cannot tell the text "16087.9" from the number.
 """
 
@@ -11,71 +11,48 @@ from pyspark.sql import Column, DataFrame, functions as F
 from peakledger.functions import clock
 from peakledger.functions.events import MEASURE, REASONS, TOPIC, ZONE
 
-INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z$"
-# Fixed values of contract version 1.
-ENUMS = {"report": list(TOPIC), "measure": sorted(set(MEASURE.values())), "zone": [ZONE], "reason": list(REASONS)}
-PATTERNS = {"interval_start": INSTANT, "published_at": INSTANT, "ingested_at": INSTANT, "content_sha256": "^[0-9a-f]{64}$"}
-FIELDS = ["schema_version", "report", "measure", "interval_start", "zone", "version", "value_mw", "published_at",
-          "ingested_at", "source_uri", "content_sha256", "reason"]
-
-
-def _field(doc: Column, name: str, kind: str) -> Column:
-    return F.try_variant_get(doc, f"$.{name}", kind)
-
-
-def _kind(doc: Column, name: str) -> Column:
-    return F.coalesce(F.schema_of_variant(_field(doc, name, "variant")), F.lit("VOID"))
-
-
-def _is_number(doc: Column, name: str) -> Column:
-    return _kind(doc, name).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)")
-
-
-def _is_whole(doc: Column, name: str) -> Column:
-    """1 and 1.0 are both whole numbers in JSON Schema; 1.5 and "1" are not."""
-    number = _field(doc, name, "double")
-    return _is_number(doc, name) & F.coalesce(number == F.floor(number), F.lit(False))
-
-
-def violations(doc: Column, keys: Column, fields: list[str] | None = None) -> Column:
-    """``doc`` is the parsed variant (null if not JSON), ``keys`` its top-level names (null if not an object)."""
-    fields = fields or FIELDS
-    rules = [("not_an_object", keys.isNull())]
-    expected = F.array(*[F.lit(n) for n in fields])
-    present = F.coalesce(keys, F.array().cast("array<string>"))
-    rules.append(("missing_field", keys.isNotNull() & (F.size(F.array_except(expected, present)) > 0)))
-    rules.append(("extra_field", F.size(F.array_except(present, expected)) > 0))
-
-    def rule(name, ok):
-        if name in fields:
-            rules.append((name, F.array_contains(present, name) & ~F.coalesce(ok, F.lit(False))))
-
-    rule("schema_version", _is_whole(doc, "schema_version") & (_field(doc, "schema_version", "double") == 1))
-    rule("version", _is_whole(doc, "version") & (_field(doc, "version", "double") >= 1))
-    rule("value_mw", _is_number(doc, "value_mw"))
-    for name, allowed in ENUMS.items():
-        rule(name, (_kind(doc, name) == "STRING") & _field(doc, name, "string").isin(allowed))
-    for name, pattern in PATTERNS.items():
-        rule(name, (_kind(doc, name) == "STRING") & _field(doc, name, "string").rlike(pattern))
-    rule("source_uri", (_kind(doc, "source_uri") == "STRING") & (F.length(_field(doc, "source_uri", "string")) > 0))
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
-
-
-def check(messages: DataFrame, payload: str = "value", fields: list[str] | None = None) -> DataFrame:
-    """Adds ``doc`` (variant) and ``violations`` (array of broken rules)."""
-    doc = F.try_parse_json(F.col(payload))
-    keys = F.when(F.col("doc").isNotNull(), F.json_object_keys(F.col(payload)))
-    return (messages.withColumn("doc", doc)
-            .withColumn("violations", violations(F.col("doc"), keys, fields)))
+# Fixed values of contract version 1: each field's JSON type and value as one pattern over "TYPE:text".
+_NUMBER = r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+_INSTANT = r"STRING:\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z"
+_MEASURES = sorted(set(MEASURE.values()))
+FIELDS = {
+    "schema_version": _NUMBER + r":1(\.0+)?",
+    "version": _NUMBER + r":[1-9]\d*(\.0+)?",          # 12 and 12.0 are both whole numbers in JSON Schema
+    "value_mw": _NUMBER + r":.*",
+    "report": f"STRING:({'|'.join(TOPIC)})",
+    "measure": f"STRING:({'|'.join(_MEASURES)})",
+    "zone": f"STRING:{ZONE}",
+    "reason": f"STRING:({'|'.join(REASONS)})",
+    "interval_start": _INSTANT,
+    "published_at": _INSTANT,
+    "ingested_at": _INSTANT,
+    "content_sha256": r"STRING:[0-9a-f]{64}",
+    "source_uri": r"STRING:(?s).+",
+}
+INSTANTS = ("interval_start", "published_at", "ingested_at")
+TYPES = {"version": "bigint", "value_mw": "double"}
+
+
+def check(messages: DataFrame, payload: str = "value") -> DataFrame:
+    """Adds ``violations``, the names of the broken rules, and ``fields``, the top-level fields as variants (null unless the
+    message is a JSON object)."""
+    parsed = messages.withColumn("fields", F.try_variant_get(F.try_parse_json(F.col(payload)), "$", "map<string,variant>"))
+    # One short lambda over the fields; the rules below then compile to plain code. (Anything inside a lambda does not.)
+    signed = parsed.withColumn("_signed", F.transform_values("fields", lambda _, v: F.concat(
+        F.schema_of_variant(v), F.lit(":"), F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("")))))
+    names = F.col("fields")
+    held = F.size(F.array_intersect(F.map_keys(names), F.array(*[F.lit(n) for n in FIELDS])))
+    rules = [("not_an_object", names.isNull()), ("missing_field", held < len(FIELDS)), ("extra_field", F.size(names) > held)]
+    for name, pattern in FIELDS.items():
+        rules.append((name, ~F.try_element_at("_signed", F.lit(name)).rlike(f"^{pattern}$")))
+    broken = F.array(*[F.when(rule, F.lit(name)) for name, rule in rules])
+    return signed.withColumn("violations", F.array_except(broken, F.array(F.lit(None).cast("string")))).drop("_signed")
 
 
 def decode(checked: DataFrame) -> DataFrame:
     """Typed event columns of the good messages."""
-    doc = F.col("doc")
-    moment = {"interval_start", "published_at", "ingested_at"}
-    typed = {"version": "bigint", "value_mw": "double"}
     columns = []
-    for name in FIELDS[1:]:
-        value = _field(doc, name, typed.get(name, "string"))
-        columns.append((clock.parse_iso(value) if name in moment else value).alias(name))
+    for name in list(FIELDS)[1:]:
+        value = F.try_variant_get(F.try_element_at("fields", F.lit(name)), "$", TYPES.get(name, "string"))
+        columns.append((clock.parse_iso(value) if name in INSTANTS else value).alias(name))
     return checked.where(F.size("violations") == 0).select(*columns)

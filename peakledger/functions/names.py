@@ -26,9 +26,9 @@ def group_of(name: Column) -> Column:
 
 
 def is_wanted(report: Column, name: Column) -> Column:
-    """Versioned, and in the report's one format."""
-    ending = F.regexp_extract(name, r"_v\d+\.(\w+)$", 1)
-    return F.coalesce(ending == lookup(EXTENSION, report), F.lit(False))
+    """Versioned, and in the report's one format. One pattern over both, so that a derived name is worked out once."""
+    formats = "|".join(rf"{r}/.*_v\d+\.{ext}" for r, ext in EXTENSION.items())
+    return F.concat_ws("/", report, name).rlike(f"^({formats})$")
 
 
 def stamp_of(group: Column) -> Column:

@@ -26,7 +26,7 @@ def hourly_against_fine(rows: DataFrame) -> DataFrame:
     ``rows``: report, ts, value. The hourly value is the hour's total spread over its five-minute slots.
     """
     money = F.col("value").cast("decimal(18,2)")
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = clock.hour_of(F.col("ts"))
     slot = F.floor(F.minute("ts") / 5)
     fine = (rows.groupBy("report", hour.alias("hour"), slot.alias("slot")).agg(F.sum(money).alias("mw"))
             .groupBy("report", "hour").agg(F.count(F.lit(1)).alias("slots"), F.sum("mw").cast("double").alias("fine_total")))

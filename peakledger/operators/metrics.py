@@ -57,7 +57,7 @@ def partition_lag(offsets: DataFrame) -> DataFrame:
 
 
 def _minute() -> Column:
-    return F.date_trunc("minute", "ts").cast("timestamp_ntz").alias("minute")
+    return clock.minute_of(F.col("ts")).alias("minute")
 
 
 def _looking_back(per_minute: DataFrame, width: int, fold: Column) -> DataFrame:
@@ -101,12 +101,12 @@ def silences(samples: DataFrame, limit_minutes: int = SILENCE_MINUTES) -> DataFr
                     seconds.cast("double").alias("seconds")))
 
 
-def health_rollup(samples: DataFrame, every: str = "hour") -> DataFrame:
+def health_rollup(samples: DataFrame) -> DataFrame:
     """Dashboard rows: per service and hour, samples, highest, total, rate per second, and the exact 95th percentile.
 
     The percentile is that of hundredths, taken by counting values, so a crowded hour is never sorted in one place.
     """
-    period = F.date_trunc(every, "ts").cast("timestamp_ntz")
+    period = clock.hour_of(F.col("ts"))
     cents = F.rint(F.col("value") * 100).cast("bigint")
     rows = samples.select("service", period.alias("period"), "value", cents.alias("cents"))
     sums = rows.groupBy("service", "period").agg(

@@ -8,7 +8,6 @@ from peakledger.functions import names
 from peakledger.operators.skew import join_unique
 
 COMPLETE_GROUP = 12   # fixed value: a full hour has twelve versions
-STAMP = "yyyyMMddHH"
 
 
 def in_period(files: DataFrame, since, until) -> DataFrame:
@@ -25,9 +24,11 @@ def done_files(*tables: DataFrame) -> DataFrame:
 
 
 def missing_files(listed: DataFrame, done: DataFrame) -> DataFrame:
-    """Listed but never processed. The listing is made unique first, so no name travels more than once per task."""
-    unique = listed.groupBy("report", "name").agg(F.min("published_at").alias("published_at"))
-    return unique.join(done.select("report", "name").distinct(), ["report", "name"], "left_anti")
+    """Listed but never processed, each name once. One grouping of both tables, combined on the map side, tells what is done."""
+    both = listed.select("report", "name", "published_at", F.lit(0).alias("_done")).unionByName(
+        done.select("report", "name", F.lit(None).cast("timestamp_ntz").alias("published_at"), F.lit(1).alias("_done")))
+    return (both.groupBy("report", "name").agg(F.min("published_at").alias("published_at"), F.max("_done").alias("_done"))
+            .where(F.col("_done") == 0).drop("_done"))
 
 
 def find_changes(listed: DataFrame, done: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def newest_complete_group(done: DataFrame, cutoff: str, report: str = "RealtimeT
 def to_json(changes: DataFrame) -> DataFrame:
     """One JSON text per change, for hand-over between jobs."""
     return changes.select(F.to_json(F.struct(
-        "report", "name", F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("published_at"),
+        "report", "name", F.col("published_at").cast("string").alias("published_at"),
         "kind")).alias("value"))
 
 

@@ -21,25 +21,21 @@ def daily_peaks(points: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("hours"))
 
 
-def base_period_days(daily: DataFrame) -> DataFrame:
-    """Every calendar day of every base period in which the zone has data; ``peak`` is null on days without."""
-    periods = daily.select("zone", clock.base_year(F.col("day")).alias("base_year")).distinct()
-    first = F.make_date("base_year", F.lit(5), F.lit(1))
-    last = F.make_date(F.col("base_year") + 1, F.lit(4), F.lit(30))
-    calendar = periods.withColumn("day", F.explode(F.sequence(first, last)))
-    return calendar.join(daily.select("zone", "day", "peak"), ["zone", "day"], "left")
-
-
 def bars(daily: DataFrame, rank: int = 5) -> DataFrame:
     """zone, base_year, eff_day, bar: the rank-th highest daily peak of the base period over the days before ``eff_day``.
 
-    Null until ``rank`` days exist. At most 366 days per window partition, so sorting the list each day is cheap.
+    A bar holds from the day after one with data until the next such day, so each day with data yields the rows up to then;
+    days before the first have none. Null until ``rank`` days exist. At most 366 days per window partition, so sorting the
+    list each day is cheap.
     """
-    so_far = (Window.partitionBy("zone", "base_year").orderBy("day")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    best = F.sort_array(F.collect_list("peak").over(so_far), asc=False)
-    return base_period_days(daily).select(
-        "zone", "base_year", F.col("day").alias("eff_day"), F.try_element_at(best, F.lit(rank)).alias("bar"))
+    days = daily.select("zone", "day", "peak", clock.base_year(F.col("day")).alias("base_year"))
+    period = Window.partitionBy("zone", "base_year").orderBy("day")
+    best = F.sort_array(F.collect_list("peak").over(period.rowsBetween(Window.unboundedPreceding, Window.currentRow)), asc=False)
+    first, last = F.date_add("day", 1), F.make_date(F.col("base_year") + 1, F.lit(4), F.lit(30))
+    known = days.select("zone", "base_year", first.alias("_first"), F.coalesce(F.lead("day").over(period), last).alias("_last"),
+                        F.try_element_at(best, F.lit(rank)).alias("bar"))
+    return known.where(F.col("_first") <= F.col("_last")).select(
+        "zone", "base_year", F.explode(F.sequence("_first", "_last")).alias("eff_day"), "bar")
 
 
 def top_peaks(daily: DataFrame, n: int = 5) -> DataFrame:

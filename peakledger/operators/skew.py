@@ -1,34 +1,26 @@
 """Keys that hold a large share of the rows.
 
-A key is *hot* when it holds more than one row in ``SHARES`` of the input. There can be at most ``SHARES`` such keys
-whatever the data size, which is the size bound that allows broadcasting them. Everything else is left to the plain plan.
+A key is *hot* when it is among the ``SHARES`` fullest keys and holds more than ``FLOOR`` rows. Their number is bounded whatever
+the data size, which allows broadcasting them; any other key holds at most one row in ``SHARES`` (or few rows), so the plain plan
+serves it. No key or row is left out: being hot only decides how a key is spread.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from peakledger.operators.durable import checkpoint
 
-SHARES = 10_000   # most hot keys there can be
+SHARES = 10_000   # most hot keys there are
 FLOOR = 200_000   # a key with fewer rows than this is never worth splitting
 FAN = 32          # pieces a hot key is salted into
 
 
 def hot_keys(df: DataFrame, keys: list[str], floor: int | None = None) -> DataFrame:
-    """Keys with more than max(total / SHARES, floor) rows; at most SHARES rows. One pass over the key columns."""
+    """The at most SHARES fullest keys with more than ``floor`` rows. One pass over the key columns."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg((F.sum("_rows") / SHARES).alias("_share")).select("_share")
-    limit = F.greatest(total.scalar(), F.lit(float(FLOOR if floor is None else floor)))
-    return counts.where(F.col("_rows") > limit).select(*keys)
-
-
-def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on all keys."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & a[key].eqNullSafe(b[key])
-    return condition
+    return (counts.where(F.col("_rows") > (FLOOR if floor is None else floor))
+            .orderBy(F.desc("_rows"), *keys).limit(SHARES).select(*keys))
 
 
 def join_unique(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", spread: list[str] | None = None,

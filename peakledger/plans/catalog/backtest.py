@@ -8,7 +8,7 @@ from peakledger.functions import clock
 from peakledger.operators import series
 from peakledger.plans import backtest
 from peakledger.plans.catalog.base import BARS, DAILY, HOURS, ratio_sql, register
-from peakledger.plans.catalog.signals import DECISION, MARKET
+from peakledger.plans.catalog.signals import DECISION, MARKET, hourly
 from peakledger.sources.feeds import demand_hours
 
 TRAIN, HOLDOUT = [1995, 1996], [1997, 1998]
@@ -88,7 +88,7 @@ def _year():
 
 
 def _result(spark, sf):
-    return backtest.walk_forward(demand_hours(spark, sf), TRAIN, HOLDOUT)
+    return backtest.walk_forward(hourly(spark, sf), TRAIN, HOLDOUT)
 
 
 @register("top5_peaks", f"""WITH {HOURS}, {DAILY}, {TRUTH}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from peakledger.functions import clock
 from peakledger.operators import merge, rule, series
+from peakledger.operators.durable import checkpoint
 from peakledger.plans.catalog.base import BARS, DAILY, HOURS, register
 from peakledger.sources.feeds import demand_hours
 
@@ -52,8 +53,13 @@ def _windowed(df):
     return rule.with_params(df, MARGINS, MONTHS, HE_MIN, HE_MAX)
 
 
+def hourly(spark, sf):
+    """The hourly series, worked out once from the raw rows: the rule reads it several times over."""
+    return checkpoint(demand_hours(spark, sf))
+
+
 def decisions(spark, sf):
-    points = demand_hours(spark, sf)
+    points = hourly(spark, sf)
     return rule.decide(_windowed(rule.every_hour(points)), points)
 
 
@@ -102,8 +108,10 @@ SELECT b.zone, CAST(base_year AS BIGINT) AS base_year, CAST(eff_day AS VARCHAR)
 FROM bars b JOIN daily d ON d.zone = b.zone AND d.day = b.eff_day""")
 def running_fifth_peak(spark, sf):
     daily = series.daily_peaks(demand_hours(spark, sf))
-    return (series.bars(daily).withColumnRenamed("eff_day", "day").join(daily, ["zone", "day"])
-            .select("zone", F.col("base_year").cast("bigint").alias("base_year"), _text(F.col("day")).alias("day"), "peak", "bar"))
+    days = daily.select("zone", clock.base_year(F.col("day")).alias("base_year"), "day", "peak")
+    bars = series.bars(daily).withColumnRenamed("eff_day", "day")
+    return days.join(bars, ["zone", "base_year", "day"], "left").select(
+        "zone", F.col("base_year").cast("bigint").alias("base_year"), _text(F.col("day")).alias("day"), "peak", "bar")
 
 
 @register("bar_asof", f"""{RULE}
@@ -168,7 +176,7 @@ def newest_hours(points):
 @register("live_candidates", f"""WITH {HOURS}, {DAILY}, {CANDIDATES_SQL}
 SELECT zone, latest_start, variant, candidate_hour FROM candidates""")
 def live_candidates(spark, sf):
-    return rule.live_candidates(newest_hours(demand_hours(spark, sf))).select("zone", "latest_start", "variant", "candidate_hour")
+    return rule.live_candidates(newest_hours(hourly(spark, sf))).select("zone", "latest_start", "variant", "candidate_hour")
 
 
 LIVE = f"""WITH {HOURS}, {DAILY}, {BARS}, {CANDIDATES_SQL}, {decide_sql(
@@ -185,7 +193,7 @@ def live_decision_rows(points):
 SELECT zone, latest_start, variant, candidate_hour, decided_at, CAST(risk AS BIGINT) AS risk, {REASON_KIND} AS kind,
        estimate AS estimate_mw, bar AS bar_mw, (epoch(candidate_hour) - epoch(decided_at)) / 3600 AS notice_hours FROM decided""")
 def live_decisions(spark, sf):
-    rows = live_decision_rows(demand_hours(spark, sf))
+    rows = live_decision_rows(hourly(spark, sf))
     return rows.select("zone", "latest_start", "variant", "candidate_hour", "decided_at", F.col("risk").cast("bigint").alias("risk"),
                        rule.reason_kind().alias("kind"), F.col("estimate").alias("estimate_mw"), F.col("bar").alias("bar_mw"),
                        clock.notice_hours(F.col("candidate_hour"), F.col("decided_at")).alias("notice_hours"))
@@ -199,7 +207,7 @@ FROM decided d JOIN hottest h ON h.zone = d.zone
 WHERE risk AND d.latest_start >= h.day - INTERVAL 19 HOUR AND d.latest_start < h.day + INTERVAL 29 HOUR""")
 def replay_day(spark, sf):
     from peakledger.plans.replay import replay
-    points = demand_hours(spark, sf)
+    points = hourly(spark, sf)
     summer = series.daily_peaks(points).where(F.month("day").isin(MONTHS))
     hottest = summer.groupBy("zone").agg(F.max_by("day", F.struct("peak", -F.unix_date("day"))).alias("day"))
     margins = [x for v, m in MARGINS.items() for x in (F.lit(v), F.lit(m))]
@@ -259,7 +267,7 @@ FROM (SELECT * FROM signals QUALIFY row_number() OVER (PARTITION BY zone, varian
 GROUP BY 1, 2""")
 def signals_insert_once(spark, sf):
     """The first half of the rows is stored, then everything is sent again."""
-    points = demand_hours(spark, sf)
+    points = hourly(spark, sf)
     rows = rule.signal_rows(signals_feed(points), F.col("latest_start") + clock.minutes(75))
     early = F.col("evaluated_at") < F.lit("1998-01-01").cast("timestamp_ntz")
     nothing = rows.where(F.lit(False))
@@ -273,7 +281,7 @@ def signals_insert_once(spark, sf):
 SELECT zone, evaluated_at, variant, candidate_hour, CAST(risk AS BIGINT) AS risk, estimate_mw, bar_mw, kind FROM signals
 ORDER BY evaluated_at DESC, candidate_hour, zone, variant LIMIT 12""")
 def latest_signals(spark, sf):
-    rows = signals_feed(demand_hours(spark, sf)).select(
+    rows = signals_feed(hourly(spark, sf)).select(
         "zone", "evaluated_at", "variant", "candidate_hour", F.col("risk").cast("bigint").alias("risk"),
         F.col("estimate").alias("estimate_mw"), F.col("bar").alias("bar_mw"), rule.reason_kind().alias("kind"))
     return rows.orderBy(F.desc("evaluated_at"), "candidate_hour", "zone", "variant").limit(12)

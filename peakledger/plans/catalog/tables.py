@@ -173,7 +173,7 @@ def file_content_hash(spark, sf):
 SELECT run_key, flag, listed_files, recorded_at FROM runs QUALIFY row_number() OVER (PARTITION BY run_key ORDER BY recorded_at DESC) = 1""")
 def upsert_run_log(spark, sf):
     """Each month and report is run once per return flag; the flags stand for first run and two reruns."""
-    key = F.concat(F.date_format("published_at", "yyyy-MM"), F.lit("/"), F.col("report"))
+    key = F.concat(F.substring(F.col("published_at").cast("string"), 1, 7), F.lit("/"), F.col("report"))
     recorded = names.lookup({"A": "2002-01-01", "N": "2002-01-02", "R": "2002-01-03"}, F.col("flag")).cast("timestamp_ntz")
     runs = (listed_files(spark, sf).groupBy(key.alias("run_key"), "flag").agg(F.count(F.lit(1)).alias("listed_files"))
             .withColumn("recorded_at", recorded))

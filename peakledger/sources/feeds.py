@@ -57,7 +57,7 @@ def two_batches(feed: DataFrame, split: str = "1998-01-01") -> tuple[DataFrame,
 
 def fine_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly readings per event type: report, zone, interval_start, version, value_mw."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = clock.hour_of(F.col("ts"))
     return (table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("report"), hour.alias("interval_start"))
             .agg(F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("value_mw"),
                  F.count(F.lit(1)).alias("version"))
@@ -75,8 +75,8 @@ def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     version = (F.col("l_linenumber") + 7 * (F.col("l_suppkey") % 2)).cast("string")
     hour = F.col("l_shipdate") + clock.hours((F.col("l_partkey") % 24).cast("int"))
     # Four groups a week, so that groups fill up.
-    week = F.date_trunc("week", "l_shipdate").cast("timestamp_ntz") + clock.hours((F.col("l_partkey") % 4 * 6).cast("int"))
-    stamp = F.date_format(week, "yyyyMMddHH")
+    monday = F.date_sub(F.col("l_shipdate").cast("date"), F.weekday("l_shipdate"))
+    stamp = clock.hour_stamp(monday.cast("timestamp_ntz") + clock.hours((F.col("l_partkey") % 4 * 6).cast("int")))
     suffix = F.when(F.col("l_tax") == 0, "").otherwise(F.concat(F.lit("_v"), version))
     return items.select(
         report.alias("report"), F.concat(F.lit("PUB_"), report, F.lit("_"), stamp, suffix, F.lit("."), ext).alias("name"),
@@ -94,8 +94,7 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, value: one contract message per event, whole for ids ending in 0 and damaged in a fixed way for the others."""
     rows = table(spark, sf_dir, "events")
-    second = F.date_format("ts", clock.ISO)
-    hour = F.date_format(F.date_trunc("hour", "ts"), clock.ISO)
+    second, hour = clock.iso(F.col("ts")), clock.iso(clock.hour_of(F.col("ts")))
     text = F.concat(
         F.lit('{"schema_version":1,"report":"'), _report(F.col("event_id")), F.lit('","measure":"ontario_demand","interval_start":"'),
         hour, F.lit('","zone":"ONTARIO","version":'), (F.col("user_id") + 1).cast("string"), F.lit(',"value_mw":'),
@@ -129,7 +128,7 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load-test samples: run (service and day), elapsed_s, replicas, lag."""
-    second = clock.seconds_between(F.date_trunc("day", "ts").cast("timestamp_ntz"), F.col("ts"))
+    second = clock.seconds_between(clock.midnight_of(F.col("ts")), F.col("ts"))
     return table(spark, sf_dir, "events").select(
-        F.concat_ws("/", "event_type", F.date_format("ts", "yyyy-MM-dd")).alias("run"), F.floor(second).cast("bigint").alias("elapsed_s"),
+        F.concat_ws("/", "event_type", F.col("ts").cast("date").cast("string")).alias("run"), F.floor(second).cast("bigint").alias("elapsed_s"),
         (F.col("user_id") % 7).alias("replicas"), F.greatest(F.lit(0), F.floor("value") - 30).alias("lag"))
