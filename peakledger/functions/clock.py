@@ -14,13 +14,19 @@ STALENESS = {"persist2": 2, "persist4": 4}  # hours between the newest usable re
 VARIANTS = ("oracle", "persist2", "persist4", "day_ahead")
 LIVE_VARIANTS = ("persist2", "persist4", "day_ahead")
 
+def _times(unit: str, n) -> Column:
+    # one unit times n: make_dt_interval would do decimal arithmetic on every row
+    one = F.expr(f"INTERVAL '1' {unit}")
+    return one * n if isinstance(n, Column) else F.expr(f"INTERVAL '{n}' {unit}")
+
+
 def hours(n) -> Column:
     """An interval of ``n`` hours; ``n`` is an int or an integer column."""
-    return F.make_dt_interval(hours=n if isinstance(n, Column) else F.lit(n))
+    return _times("HOUR", n)
 
 
 def minutes(n) -> Column:
-    return F.make_dt_interval(mins=n if isinstance(n, Column) else F.lit(n))
+    return _times("MINUTE", n)
 
 
 def est(start: Column) -> Column:

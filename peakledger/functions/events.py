@@ -21,8 +21,9 @@ MEASURE = {
 ZONE = "ONTARIO"
 REASONS = ("live", "backfill", "reconciliation")
 
-RAW_KEY = ["report", "interval_start", "zone", "version"]
-CURRENT_KEY = ["report", "interval_start", "zone"]
+# The instant comes first because sorts compare the first key first, and reports and zones repeat a great deal.
+CURRENT_KEY = ["interval_start", "report", "zone"]
+RAW_KEY = [*CURRENT_KEY, "version"]
 
 EVENT_COLUMNS = ["report", "measure", "interval_start", "zone", "version", "value_mw", "published_at",
                  "ingested_at", "source_uri", "content_sha256", "reason"]

@@ -162,17 +162,17 @@ def _slice_starts(hot: DataFrame, order: list[str]) -> DataFrame:
     earlier = Window.partitionBy(*CURRENT_KEY).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     caps = tops.select(*CURRENT_KEY, "_slice", F.coalesce(F.max("_top").over(earlier), F.lit(_NONE[0])).alias("_cap"))
     keys = CURRENT_KEY + ["_slice"]
-    fields = [("report", pa.string()), ("interval_start", pa.timestamp("us")), ("zone", pa.string()), ("_slice", pa.int32()),
+    fields = [("interval_start", pa.timestamp("us")), ("report", pa.string()), ("zone", pa.string()), ("_slice", pa.int32()),
               ("lo", pa.int64()), ("hi", pa.int64()), ("x1", pa.float64()), ("v1", pa.int64()), ("w1", pa.float64()),
               ("v2", pa.int64()), ("w2", pa.float64())]
-    schema = ("report string, interval_start timestamp_ntz, zone string, _slice int, lo bigint, hi bigint, x1 double, "
+    schema = ("interval_start timestamp_ntz, report string, zone string, _slice int, lo bigint, hi bigint, x1 double, "
               "v1 bigint, w1 double, v2 bigint, w2 double")
     # caps: one row per slice of a hot key, at most SHARES plus one per range partition
     needed = [c for c in dict.fromkeys([*keys, *order, "version", "value_mw", "_seed"])]
     pieces = (hot.select(*needed).join(F.broadcast(caps), keys).repartition(*keys)
               .sortWithinPartitions(*keys, "_seed", *order).mapInArrow(_summarizer(keys, fields), schema))
     return pieces.groupBy(*CURRENT_KEY).applyInPandas(
-        _fold, "report string, interval_start timestamp_ntz, zone string, _slice int, _from_version bigint, _from_value double")
+        _fold, "interval_start timestamp_ntz, report string, zone string, _slice int, _from_version bigint, _from_value double")
 
 
 def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, floor: int | None = None,
@@ -193,7 +193,9 @@ def news_in_arrival_order(events: DataFrame, state: DataFrame | None = None, flo
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in events.schema) + ", state_version bigint, state_value double"
 
     def replay(df, keys):
-        return (df.repartition(*keys).sortWithinPartitions(*keys, "_seed", *order)
+        # the worker's output columns go by position: events' own columns first
+        carried = [*events.columns, *[k for k in keys if k not in events.columns], "_seed", "_from_version", "_from_value"]
+        return (df.select(*carried).repartition(*keys).sortWithinPartitions(*keys, "_seed", *order)
                 .mapInArrow(_replayer(keys), schema))
 
     nothing = cold.withColumn("_from_version", F.lit(None).cast("bigint")).withColumn("_from_value", F.lit(None).cast("double"))
