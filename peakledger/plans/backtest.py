@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from peakledger.functions import clock
+from peakledger.functions import clock, names
+from peakledger.functions.events import ZONE
 from peakledger.operators import rule, series
+from peakledger.sources import files as landed, reports
 
 # Fixed values of the evaluation.
 GRID = [round(0.80 + 0.01 * i, 2) for i in range(21)]  # margins 0.80 .. 1.00
@@ -129,8 +131,20 @@ def params(result: dict[str, DataFrame]) -> DataFrame:
     return (result["margins"].where(F.col("variant").isin(*clock.LIVE_VARIANTS)).join(result["window"], "zone"))
 
 
+def load(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(points, tracker) from root/ICIDemand/*.csv and root/ICIPeakTracker/*.xml; of several versions of an hour the newest counts."""
+    texts = landed.read_folder(spark, root, wanted_only=False)
+    good = reports.parse(texts.where(F.col("report") == "ICIDemand"), versioned=False).where(F.col("error").isNull())
+    version = F.coalesce(names.version_of(F.col("name")), F.lit(0).cast("bigint"))
+    hours = good.select(version.alias("version"), F.explode("rows").alias("r"))
+    points = hours.groupBy(F.lit(ZONE).alias("zone"), F.col("r.interval_start").alias("interval_start")).agg(
+        F.max_by("r.value_mw", "version").alias("mw"))
+    tracker = reports.parse_tracker(texts.where(F.col("report") == "ICIPeakTracker")).where(F.col("error").isNull())
+    return points, tracker.withColumn("zone", F.lit(ZONE))
+
+
 def write_results(result: dict[str, DataFrame], root: str) -> None:
-    """The result as tables under ``root``. The grid is written first and the rest is read back from it by Spark's cache."""
+    """The result as tables under ``root``; the grid, which all of them read, is held while they are written."""
     cached = result["grid"].persist()
     try:
         for name in ("window", "frontier", "margins", "scores", "totals", "missed"):

@@ -76,13 +76,13 @@ def read_texts(files: DataFrame) -> DataFrame:
     return read_bytes(files).withColumn("text", F.decode("content", "UTF-8")).drop("content")
 
 
-def read_folder(spark: SparkSession, root: str) -> DataFrame:
-    """All wanted files under root/<report>/ with their text, in one scan. For first loads, where everything is new."""
+def read_folder(spark: SparkSession, root: str, wanted_only: bool = True) -> DataFrame:
+    """All (wanted) files under root/<report>/ with their text, in one scan. For first loads, where everything is new."""
     scan = spark.read.text(f"{root}/*/PUB_*", wholetext=True)
     path = F.col("_metadata.file_path")
     files = scan.select(*_named(path), utc(F.col("_metadata.file_modification_time")).alias("published_at"),
                         path.alias("uri"), F.col("value").alias("text"))
-    return files.where(names.is_wanted(F.col("report"), F.col("name")))
+    return files if not wanted_only else files.where(names.is_wanted(F.col("report"), F.col("name")))
 
 
 def archive(listed: DataFrame, held: DataFrame, target: str, fetch=read_bytes) -> DataFrame:
