@@ -16,25 +16,33 @@ FLOOR = 200_000   # a key with fewer rows than this is never worth splitting
 FAN = 32          # pieces a hot key is salted into
 
 
-def hot_keys(df: DataFrame, keys: list[str], floor: int | None = None) -> DataFrame:
-    """The at most SHARES fullest keys with more than ``floor`` rows. One pass over the key columns."""
+def hot_keys(df: DataFrame, keys: list[str], floor: int | None = None) -> DataFrame | None:
+    """The at most SHARES fullest keys with more than ``floor`` rows, or None if there are none.
+
+    One pass over the key columns, combined on the map side; the few keys come to the driver once and serve every later use.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return (counts.where(F.col("_rows") > (FLOOR if floor is None else floor))
-            .orderBy(F.desc("_rows"), *keys).limit(SHARES).select(*keys))
+    fullest = (counts.where(F.col("_rows") > (FLOOR if floor is None else floor))
+               .orderBy(F.desc("_rows"), *keys).limit(SHARES).select(*keys))
+    found = fullest.collect()  # SHARES rows at most
+    return df.sparkSession.createDataFrame(found, fullest.schema) if found else None
 
 
 def join_unique(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", spread: list[str] | None = None,
                 floor: int | None = None) -> DataFrame:
     """Join rows, some of whose keys may be hot, to ``facts`` that hold each key at most once.
 
-    Hot keys are salted FAN ways on the row side and copied FAN times on the fact side; all others carry salt 0.
+    Without hot keys this is a plain join. Otherwise hot keys are salted FAN ways on the row side and copied FAN times on the
+    fact side; all others carry salt 0.
     """
-    hot = hot_keys(rows, on, floor).withColumn("_hot", F.lit(True))
-    tagged = rows.join(F.broadcast(hot), on, "left")
+    hot = hot_keys(rows, on, floor)
+    if hot is None:
+        return rows.join(facts, on, how)
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(FAN)).cast("int")
-    tagged = tagged.withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
+    tagged = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(FAN - 1))).otherwise(F.array(F.lit(0)))
-    copied = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copied = facts.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return tagged.join(copied, on + ["_salt"], how).drop("_salt")
 
 
@@ -45,13 +53,12 @@ def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], floor: in
     Rows equal in keys and order always share a slice.
     """
     hot = hot_keys(df, keys, floor)
-    if hot.isEmpty():
+    if hot is None:
         return df, None
-    hot = F.broadcast(checkpoint(hot))
     slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = (df.join(hot, keys, "left_semi").repartitionByRange(slices, *keys, *order)
+    sliced = (df.join(F.broadcast(hot), keys, "left_semi").repartitionByRange(slices, *keys, *order)
               .withColumn("_slice", F.spark_partition_id()))
-    return df.join(hot, keys, "left_anti"), checkpoint(sliced)
+    return df.join(F.broadcast(hot), keys, "left_anti"), checkpoint(sliced)
 
 
 def previous(df: DataFrame, keys: list[str], order: list[str], value: str, name: str,

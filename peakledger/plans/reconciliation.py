@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from peakledger.functions.events import RUN_SCHEMA
-from peakledger.operators import quality, reconcile
+from peakledger.operators import merge, quality, reconcile
 from peakledger.plans import ingest
 from peakledger.sources import files as landed, reports
 from peakledger.streaming.warehouse import DONE, HANDLED, Warehouse
@@ -52,8 +52,11 @@ def run(spark: SparkSession, listed: DataFrame, warehouse: Warehouse, topic_root
         row.update(reconcile.republish_summary(outcomes, result["news"]).first().asDict())
         if deliver is not None:
             deliver()
-        hits = reconcile.landed(result["news"], warehouse.current()).first()["events_landed"] if row["events_sent"] else 0
-        arrived = hits == row["events_sent"]
+        arrived = row["events_sent"] == 0  # nothing new was sent, so there is nothing to wait for
+        if not arrived:
+            lo, hi = merge.day_bounds(result["news"])
+            hits = reconcile.landed(result["news"], warehouse.current(lo.date(), hi.date())).first()["events_landed"]
+            arrived = hits == row["events_sent"]
         row["events_landed"] = row["events_sent"] if arrived else 0
         if arrived:
             finished = result["outcomes"].where(F.col("outcome") == "files_parsed").select("report", "name", "published_at")
