@@ -8,7 +8,7 @@ One writer at a time. With a lakehouse catalog its own MERGE would take this mod
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -116,7 +116,8 @@ class Warehouse:
         """
         if batch_id >= 0 and self.has(source, batch_id):
             return False
-        loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(datetime.now().replace(microsecond=0)).cast("timestamp_ntz"))
+        now = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
+        loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(now).cast("timestamp_ntz"))
         lo, hi = merge.day_bounds(loaded)
         if lo is None:
             return False
