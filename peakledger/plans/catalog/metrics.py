@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 from peakledger.functions import clock
 from peakledger.operators import changes, metrics
 from peakledger.plans.catalog.base import EVENTS, SAMPLES, ratio_sql, register
+from peakledger.plans.catalog.tables import COARSE, in_steps
 from peakledger.sources.feeds import load_samples, metric_samples, offsets, table, versioned_events
 
 
-@register("ingest_counters", f"""WITH {EVENTS}, ordered AS (
+@register("ingest_counters", f"""WITH {COARSE}, ordered AS (
   SELECT *, lag(value_mw) OVER (PARTITION BY report, interval_start, zone
-                                ORDER BY version, ingested_at, published_at, source_uri, value_mw) AS p FROM feed)
+                                ORDER BY version, ingested_at, published_at, source_uri, value_mw) AS p FROM steps)
 SELECT report, CASE WHEN value_mw IS DISTINCT FROM p THEN 'events_produced' ELSE 'events_deduplicated' END AS outcome, count(*) AS "count"
 FROM ordered GROUP BY 1, 2""")
 def ingest_counters(spark, sf):
     """Events produced and dropped as unchanged, per report."""
-    feed = versioned_events(spark, sf)
+    feed = in_steps(versioned_events(spark, sf))
     every = feed.groupBy("report").agg(F.count(F.lit(1)).alias("seen"))
     fresh = changes.changed_values(feed).groupBy("report").agg(F.count(F.lit(1)).alias("kept"))
     both = every.join(fresh, "report", "left").na.fill(0, ["kept"])

@@ -13,10 +13,16 @@ from peakledger.plans.catalog.base import FILES
 RAW_RANK = "PARTITION BY report, interval_start, zone, version ORDER BY ingested_at, published_at, source_uri, value_mw"
 CURRENT_RANK = ("PARTITION BY report, interval_start, zone ORDER BY version DESC, ingested_at DESC, published_at DESC, "
                 "source_uri DESC, value_mw DESC")
+# Prices hardly ever repeat; in steps of 25,000 a new version often repeats the value before it.
+COARSE = f"{EVENTS}, steps AS (SELECT * REPLACE (floor(value_mw / 25000) * 25000 AS value_mw) FROM feed)"
 COLUMNS = events.EVENT_COLUMNS
 NAMES = ", ".join(COLUMNS)
 
 
+def in_steps(feed):
+    return feed.withColumn("value_mw", (F.floor(F.col("value_mw") / 25000) * 25000).cast("double"))
+
+
 @register("merge_raw_versions", f"""WITH {EVENTS}
 SELECT {NAMES} FROM feed QUALIFY row_number() OVER ({RAW_RANK}) = 1""")
 def merge_raw_versions(spark, sf):
@@ -61,20 +67,20 @@ def latest_version(spark, sf):
     return merge.latest_versions(versioned_events(spark, sf)).select("report", "interval_start", "zone", "version", "value_mw")
 
 
-@register("changed_values_only", f"""WITH {EVENTS}, ordered AS (
+@register("changed_values_only", f"""WITH {COARSE}, ordered AS (
   SELECT *, lag(value_mw) OVER (PARTITION BY report, interval_start, zone
-                                ORDER BY version, ingested_at, published_at, source_uri, value_mw) AS previous_mw FROM feed)
+                                ORDER BY version, ingested_at, published_at, source_uri, value_mw) AS previous_mw FROM steps)
 SELECT report, interval_start, zone, version, ingested_at, source_uri, value_mw, previous_mw FROM ordered
 WHERE value_mw IS DISTINCT FROM previous_mw""")
 def changed_values_only(spark, sf):
-    return changes.changed_values(versioned_events(spark, sf)).select(
+    return changes.changed_values(in_steps(versioned_events(spark, sf))).select(
         "report", "interval_start", "zone", "version", "ingested_at", "source_uri", "value_mw", "previous_mw")
 
 
 # Arrival order as a recursion over each interval's events: the state carries the last version and value that moved it.
-@register("news_in_arrival_order", f"""WITH RECURSIVE {EVENTS}, numbered AS (
+@register("news_in_arrival_order", f"""WITH RECURSIVE {COARSE}, numbered AS (
   SELECT *, row_number() OVER (PARTITION BY report, interval_start, zone
-                               ORDER BY ingested_at, published_at, version, source_uri, value_mw) AS n FROM feed),
+                               ORDER BY ingested_at, published_at, version, source_uri, value_mw) AS n FROM steps),
 walk AS (
   SELECT report, interval_start, zone, n, version, value_mw, ingested_at, source_uri, true AS news, version AS sv, value_mw AS sx
   FROM numbered WHERE n = 1
@@ -86,7 +92,7 @@ walk AS (
 SELECT report, interval_start, zone, version, value_mw, ingested_at, source_uri, sv AS state_version, sx AS state_value
 FROM walk WHERE news""")
 def news_in_arrival_order(spark, sf):
-    return changes.news_in_arrival_order(versioned_events(spark, sf)).select(
+    return changes.news_in_arrival_order(in_steps(versioned_events(spark, sf))).select(
         "report", "interval_start", "zone", "version", "value_mw", "ingested_at", "source_uri", "state_version", "state_value")
 
 
