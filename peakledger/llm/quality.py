@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let
+from .common import checkpoint, let
 
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -26,7 +26,7 @@ LEFT_SHARE = 0.3
 def words(text: Column) -> Column:
     """Runs of characters other than the six ASCII spaces; no words for null."""
     plain = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
-    return F.filter(F.split(plain, " "), lambda w: w != "")
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def lines(text: Column) -> Column:
@@ -35,8 +35,10 @@ def lines(text: Column) -> Column:
 
 
 def normalised(line: Column) -> Column:
-    """Case, digits and spacing do not tell lines apart."""
-    return F.regexp_replace(F.lower(F.concat_ws(" ", words(line))), "[0-9]+", "0")
+    """Case, digits and spacing do not tell lines apart. The regular expressions run only where they have something to replace."""
+    low = F.trim(F.translate(F.lower(line), SPACES, " " * len(SPACES)))
+    spaced = F.when(F.contains(low, F.lit("  ")), F.regexp_replace(low, " +", " ")).otherwise(low)
+    return let(spaced, lambda x: F.when(F.length(F.translate(x, "0123456789", "")) < F.length(x), F.regexp_replace(x, "[0-9]+", "0")).otherwise(x))
 
 
 def repeated_words(hashes: Column) -> Column:
@@ -65,92 +67,93 @@ def repeated_words(hashes: Column) -> Column:
     return F.when(F.size(hashes) <= WINDOW, F.lit(0)).otherwise(let(hashes, lambda h: let(windows(h), from_windows)))
 
 
-def text_rules(text: Column) -> dict[str, Column]:
-    """Statistics of one text, to be used in one select each."""
-    whole = F.coalesce(text, F.lit(""))
-    own = lines(text)
-    return {
-        "n_words": F.size(words(text)).cast("long"),
-        "word_chars": F.length(F.translate(whole, " " + SPACES, "")).cast("long"),
-        "n_symbols": (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": let(own, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(F.transform(words(text), lambda w: F.xxhash64(w))).cast("long"),
-    }
+def measured(docs: DataFrame, host: str = "source", doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, body, host, statistics, lines): what the rules need of each row, without its text.
+
+    body is the hash of the text; lines holds (line, words) of each line with a word: the hash of the normalised line, its words.
+    """
+    whole = F.coalesce(F.col(text), F.lit(""))
+    by_word = let(words(F.col(text)), lambda w: F.struct(F.size(w).alias("n"), repeated_words(F.transform(w, lambda x: F.xxhash64(x))).alias("again")))
+
+    def described(x: Column) -> Column:
+        return let(normalised(x), lambda y: F.struct(F.xxhash64(y).alias("line"), (F.length(y) - F.length(F.translate(y, " ", "")) + 1).alias("words")))
+
+    by_line = let(lines(F.col(text)), lambda x: F.struct((F.size(x) - F.size(F.array_distinct(x))).alias("dup"), F.transform(x, described).alias("lines")))
+    found = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("body"), F.coalesce(F.xxhash64(F.col(host).cast("string")), F.lit(0)).alias("host"),
+                        by_word.alias("w"), by_line.alias("l"), F.length(F.translate(whole, " " + SPACES, "")).cast("long").alias("word_chars"),
+                        (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("long").alias("n_symbols"))
+    return found.select("id", "body", "host", F.col("w.n").cast("long").alias("n_words"), "word_chars", "n_symbols",
+                        F.col("l.dup").cast("long").alias("n_dup_lines"), F.col("w.again").cast("long").alias("n_repeat_words"), "l.lines")
 
 
 def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEATED * n_words)
 
 
-def common_lines(docs: DataFrame, host: str = "source", text: str = "text", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, line): hashes of normalised lines above the host's limits.
+def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+    """Of measured rows: (host, line) above the host's limits.
 
     A document counts once per line, and documents that show the line between the same two neighbours count as one, so copies of a
     text do not make its lines common. Nor does a line count of which most documents show the same neighbours: that is a copied text
     with small changes. Null hosts form a host of their own.
     """
-    key = F.coalesce(F.xxhash64(F.col(host).cast("string")), F.lit(0)).alias("host")
-
     def in_context(h: Column) -> Column:
         before = F.concat(F.array(F.lit(0).cast("long")), F.slice(h, 1, F.size(h) - 1))
         after = F.concat(F.slice(h, 2, F.size(h)), F.array(F.lit(1).cast("long")))
         return F.zip_with(h, F.arrays_zip(before.alias("b"), after.alias("a")), lambda x, n: F.struct(x.alias("line"), F.xxhash64(n["b"], n["a"]).alias("context")))
 
-    hashed = F.transform(lines(F.col(text)), lambda x: F.xxhash64(normalised(x)))
-    placed = F.when(F.size(hashed) > 0, let(hashed, lambda h: F.array_distinct(in_context(h))))
-    shown = docs.select(key, F.explode(placed).alias("x")).select("host", "x.line", "x.context")
+    placed = F.when(F.size("lines") > 0, let(F.col("lines.line"), lambda h: F.array_distinct(in_context(h))))
+    shown = rows.select("host", F.explode(placed).alias("x")).select("host", "x.line", "x.context")
     by_context = shown.groupBy("host", "line", "context").agg(F.count("*").alias("n"))
     by_line = by_context.groupBy("host", "line").agg(F.count("*").alias("texts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
-    hosts = docs.groupBy(key).agg(F.count("*").alias("total"))
+    hosts = rows.groupBy("host").agg(F.count("*").alias("total"))
     # The floor is applied before the join with the hosts, so that only lines that may be common travel.
     likely = by_line.where((F.col("texts") >= min_docs) & (2 * F.col("most") <= F.col("docs")))
     return likely.join(hosts, "host").where(F.col("texts") >= min_share * F.col("total")).select("host", "line")
 
 
-def removed_lines(docs: DataFrame, host: str = "source", doc_id: str = "doc_id", text: str = "text", **limits: float) -> DataFrame:
-    """(id, body, gone, gone_words) of each document with common lines: their hashes, and the words in them, repeats included.
+def removed_lines(rows: DataFrame, **limits: float) -> DataFrame:
+    """(id, body, gone, gone_words) of each measured row with common lines: their hashes, and the words in them, repeats included.
 
-    A document is known by its id and the hash of its text, so repeated rows agree."""
-    key = F.coalesce(F.xxhash64(F.col(host).cast("string")), F.lit(0)).alias("host")
-    counted = F.transform(lines(F.col(text)), lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words(x)).alias("words")))
-    shown = docs.select(key, F.col(doc_id).alias("id"), F.xxhash64(text).alias("body"), F.posexplode(counted).alias("at", "x"))
-    hits = (shown.select("host", "id", "body", "at", "x.line", "x.words")
-            .join(common_lines(docs, host, text, **limits), ["host", "line"], "left_semi"))
+    Rows are known by id and body, so repeated rows agree."""
+    shown = rows.select("host", "id", "body", F.posexplode("lines").alias("at", "x")).select("host", "id", "body", "at", "x.line", "x.words")
+    hits = shown.join(common_lines(rows, **limits), ["host", "line"], "left_semi")
     once = hits.groupBy("id", "body", "at").agg(F.max("words").alias("words"), F.max("line").alias("line"))
     return once.groupBy("id", "body").agg(F.collect_set("line").alias("gone"), F.sum("words").alias("gone_words"))
 
 
+def _judged(docs: DataFrame, host: str, doc_id: str, text: str, **limits: float) -> DataFrame:
+    """Measured rows with gone, n_removed_words, base_failed and kept. Texts are read once; the checkpoint holds 12 bytes a line."""
+    rows = checkpoint(measured(docs, host, doc_id, text))
+    gone = removed_lines(rows, **limits).withColumnsRenamed({"id": "gone_id", "body": "gone_body"})
+    both = rows.drop("lines").join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("body") == F.col("gone_body")), "left")
+    removed = F.coalesce(F.col("gone_words"), F.lit(0)).cast("long")
+    failed = fails_base(F.col("n_words"), F.col("n_repeat_words"))
+    enough = F.col("n_words") - removed >= LEFT_SHARE * F.col("n_words")
+    return both.withColumns({"n_removed_words": removed, "base_failed": failed, "kept": ~failed & enough})
+
+
 def judge(docs: DataFrame, host: str = "source", doc_id: str = "doc_id", text: str = "text", **limits: float) -> DataFrame:
     """doc_id, text statistics, n_removed_words, base_failed, kept; one row per input row.
 
     Null or empty texts have no words and fail. Null ids are judged like others; null hosts are one host. Other columns are not read.
     """
-    rules = text_rules(F.col(text))
-    base = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"), *[c.alias(n) for n, c in rules.items()])
-    gone = removed_lines(docs, host, doc_id, text, **limits).select("id", F.col("body").alias("gone_body"), "gone_words")
-    both = base.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("body") == F.col("gone_body")), "left")
-    removed = F.coalesce(F.col("gone_words"), F.lit(0)).cast("long")
-    failed = fails_base(F.col("n_words"), F.col("n_repeat_words"))
-    enough = F.col("n_words") - removed >= LEFT_SHARE * F.col("n_words")
-    return both.select("doc_id", *rules, removed.alias("n_removed_words"), failed.alias("base_failed"), (~failed & enough).alias("kept"))
+    return _judged(docs, host, doc_id, text, **limits).select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                                              "n_repeat_words", "n_removed_words", "base_failed", "kept")
 
 
-def clean(docs: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, **limits: float) -> DataFrame:
     """The columns of documents, for those that stay: common lines are taken out of their texts and n_chars follows.
 
-    Statistics are those of the text as it came. The order of the lines that stay is kept.
+    Statistics are those of the text as it came. The order of the lines that stay is kept; repeated rows stay repeated.
     """
     names = docs.columns
-    rules = text_rules(F.col("text"))
-    wide = docs.select(F.struct(*names).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("body"),
-                       rules["n_words"].alias("n_words"), rules["n_repeat_words"].alias("n_repeat_words"))
-    wide = wide.where(~fails_base(F.col("n_words"), F.col("n_repeat_words")))
-    gone = removed_lines(docs).select(F.col("id").alias("gone_id"), F.col("body").alias("gone_body"), "gone", "gone_words")
-    both = wide.join(gone, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("body") == F.col("gone_body")), "left")
-    stay = both.where(F.col("n_words") - F.coalesce(F.col("gone_words"), F.lit(0)) >= LEFT_SHARE * F.col("n_words"))
+    stay = _judged(docs, "source", "doc_id", "text", **limits).where("kept").select("id", "body", "gone").dropDuplicates(["id", "body"])
+    wide = docs.select(F.struct(*names).alias("row"), F.xxhash64("text").alias("row_body"))
+    both = wide.join(stay, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.col("row_body") == F.col("body")))
     text = F.col("row.text")
     rest = let(F.col("gone"), lambda gone: F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(gone, F.xxhash64(normalised(x)))), "\n"))
     new = F.when(F.col("gone").isNull(), text).otherwise(rest)
-    return stay.withColumn("new_text", new).select(*[
-        F.col("new_text").alias(n) if n == "text" else F.length("new_text").cast(docs.schema[n].dataType).alias(n) if n == "n_chars" else F.col(f"row.{n}").alias(n)
-        for n in names])
+    return both.withColumn("new_text", new).select(*[
+        F.col("new_text").alias(n) if n == "text" else F.when(F.col("gone").isNull(), F.col("row.n_chars")).otherwise(F.length("new_text")).cast(docs.schema[n].dataType).alias(n)
+        if n == "n_chars" else F.col(f"row.{n}").alias(n) for n in names])
