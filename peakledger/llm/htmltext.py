@@ -23,6 +23,8 @@ FEATURES = 2_000
 #: Cost of a tag that always stands inside, and of one that never does, in words.
 INSIDE_COST = 0.02
 OUTSIDE_COST = 40.0
+#: The most that a tag inside a line may cost; two of them must not outweigh the word between.
+INLINE_COST = 0.4
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
 MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -30,6 +32,7 @@ PIECES = re.compile(r"[a-z]+")
 RAW = frozenset("script style noscript template title textarea svg math iframe object select".split())
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form
     h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul""".split())
+INLINE = frozenset("a abbr b bdi bdo br cite code del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements and name pieces that mark what is not the article, whatever the labelled pages hold.
 ASIDE = frozenset("nav footer aside form button dialog menu".split())
@@ -125,8 +128,8 @@ def _unseen(kind: str, name: str, rest: str) -> float:
     """For a feature no labelled page holds."""
     if name in CONTENT:
         return INSIDE_COST
-    if name in ASIDE or name in ("header", "a", "li", "ul", "input", "label", "head") or names_of(rest) & ASIDE_NAMES:
-        return cost(0.9 if name not in ("a", "li", "ul") else 0.15)
+    if name in ASIDE or name in ("header", "li", "ul", "input", "label", "head") or names_of(rest) & ASIDE_NAMES:
+        return cost(0.9 if name not in ("li", "ul") else 0.15)
     return cost(0.05)
 
 
@@ -145,7 +148,8 @@ def main_text(page: str | None, costs: dict[str, float]) -> str:
             total += len(rest.split())
         else:
             f = feature(kind, name, rest)
-            total -= costs[f] if f in costs and name not in CONTENT else _unseen(kind, name, rest)
+            price = costs[f] if f in costs and name not in CONTENT else _unseen(kind, name, rest)
+            total -= min(price, INLINE_COST) if name in INLINE else price
         if total <= 0:
             total, begin = 0.0, k + 1
         elif total > best:

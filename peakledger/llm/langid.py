@@ -16,11 +16,13 @@ from ..functions.shipping import by_value
 from .common import arrow_pass
 
 LENGTHS = (3, 4)
-#: log2 of the slots; hash functions; n-grams kept per language, from the most frequent; documents learned from per language.
+#: log2 of the slots; hash functions; n-grams kept per language, from the most frequent; documents learned from per language, on average.
 SLOT_BITS = 20
 HASHES = 3
 GRAMS = 30_000
 SAMPLE = 2_000
+#: Languages learned, the most frequent ones.
+LANGUAGES = 256
 #: An n-gram belongs to a language if at least this share of its sampled documents, and two of them, hold it.
 MIN_SHARE = 0.005
 #: Characters worked on at once.
@@ -111,15 +113,17 @@ class Filters:
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, kept: int = GRAMS) -> Filters:
-    """From rows with a language. Learns from at most `sample` whole documents of each, those with the smallest hash of their id.
+    """From rows with a language. Learns from about `sample` whole documents of each, those whose id hashes below that share.
 
     What reaches the driver is bounded: `kept` n-gram hashes a language. Rows without text or language are not learned from.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     labelled = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = labelled.select("id", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample).select("id", "lang")
-    some = labelled.join(chosen.distinct(), ["id", "lang"], "left_semi")
+    # A share of each language by hash: no language meets in one task, and no text is moved. Equal rows are chosen alike.
+    totals = labelled.groupBy("lang").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "lang").limit(LANGUAGES).collect()
+    shares = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], sample / r["total"])]) if totals else F.create_map().cast("map<string, double>")
+    place = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / F.lit(float(1 << 31))
+    some = labelled.where(place < shares[F.col("lang")]).select("lang", "text")
 
     def counted(x: dict[str, list]) -> dict[str, list]:
         """Documents of these that hold an n-gram, by language."""

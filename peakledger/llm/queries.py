@@ -43,7 +43,10 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _counted(kinds: list[str]) -> list[Column]:
-    return [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return [count(k) for k in kinds]
 
 
 def _listed(spans: Column) -> Column:

@@ -253,8 +253,9 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     Rows without an id stay, as nothing tells which to keep.
     """
     stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(stay, F.col("doc_id") == F.col("stays"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    wide = docs.select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row"))
+    named = wide.where("key is not null").join(stay, F.col("key") == F.col("stays"), "left_semi").dropDuplicates(["key"])
+    return named.unionByName(wide.where("key is null")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 by_value(__name__)

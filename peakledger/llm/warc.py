@@ -100,11 +100,12 @@ def _inflate(piece: bytes) -> tuple[bytes, bool]:
 
 def is_member(piece: bytes) -> bool:
     """Whether gzip header and record header decode (or the member is empty)."""
+    unpacker = zlib.decompressobj(31)
     try:
-        out = zlib.decompressobj(31).decompress(piece[:PROBE], 64)
+        out = unpacker.decompress(piece[:PROBE], 64)
     except zlib.error:
         return False
-    return out.startswith(b"WARC/") or (not out and len(piece) <= len(EMPTY_MEMBER))
+    return out.startswith(b"WARC/") or (not out and unpacker.eof)
 
 
 def parse(record: bytes) -> dict:
@@ -154,10 +155,11 @@ def _scan(batches: Iterator[pa.RecordBatch], records: bool) -> Iterator[pa.Recor
                 if held:
                     loose(held)
                 held, where, place = b"", (file, begin), 0
-            piece = value.as_py()
-            if not piece:
-                continue
-            piece = MAGIC + piece
+                if begin == 0:  # what stands before the first magic of a file
+                    if value.as_py():
+                        raise ValueError(f"{file} does not begin with a gzip member")
+                    continue
+            piece = MAGIC + value.as_py()
             if held:
                 joined = held + piece
                 try:
