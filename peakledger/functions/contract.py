@@ -44,7 +44,11 @@ def check(messages: DataFrame, payload: str = "value") -> DataFrame:
     held = F.size(F.array_intersect(F.map_keys(names), F.array(*[F.lit(n) for n in FIELDS])))
     rules = [("not_an_object", names.isNull()), ("missing_field", held < len(FIELDS)), ("extra_field", F.size(names) > held)]
     for name, pattern in FIELDS.items():
-        rules.append((name, ~F.try_element_at("_signed", F.lit(name)).rlike(f"^{pattern}$")))
+        signed_value = F.try_element_at("_signed", F.lit(name))
+        broken_rule = ~signed_value.rlike(f"^{pattern}$")
+        if name in INSTANTS:  # a text of the right shape may still name no instant, such as a thirteenth month
+            broken_rule |= signed_value.isNotNull() & clock.parse_iso(F.substring(signed_value, len("STRING:") + 1, 20)).isNull()
+        rules.append((name, broken_rule))
     broken = F.array(*[F.when(rule, F.lit(name)) for name, rule in rules])
     return signed.withColumn("violations", F.array_except(broken, F.array(F.lit(None).cast("string")))).drop("_signed")
 

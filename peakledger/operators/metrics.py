@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from peakledger.functions import clock
 from peakledger.operators import selection
-from peakledger.operators.skew import join_unique
 
 # Alert thresholds and their look-back, in minutes.
 STALE_SECONDS, STALE_MINUTES = 90 * 60, 10
@@ -130,8 +129,7 @@ def drain_summary(samples: DataFrame) -> DataFrame:
         F.min(F.when(replicas >= 2, t)).alias("first_scaled_up_at_seconds"),
         F.min_by("elapsed_s", F.struct(-replicas, t)).alias("_peak_at"))
     scaled = facts.where(F.col("drain_seconds").isNotNull() & F.col("first_scaled_up_at_seconds").isNotNull())
-    quiet = join_unique(samples.where(replicas <= 1).select("run", "elapsed_s"),
-                        scaled.select("run", "drain_seconds", "_peak_at"), ["run"], "inner", spread=["elapsed_s"])
+    quiet = samples.where(replicas <= 1).select("run", "elapsed_s").join(scaled.select("run", "drain_seconds", "_peak_at"), "run")
     back = (quiet.where((t > F.col("_peak_at")) & (t >= F.col("drain_seconds")))
             .groupBy("run").agg(F.min("elapsed_s").alias("back_to_one_replica_at_seconds")))
     rate = F.bround(F.col("peak_lag_events") / F.col("drain_seconds"), 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from peakledger.functions import names
-from peakledger.operators.skew import join_unique
 
 COMPLETE_GROUP = 12   # fixed value: a full hour has twelve versions
 
@@ -34,13 +33,13 @@ def missing_files(listed: DataFrame, done: DataFrame) -> DataFrame:
 def find_changes(listed: DataFrame, done: DataFrame) -> DataFrame:
     """Missing files with their kind: ``new_version`` if some version of the group is done, else ``new_group``.
 
-    A group may hold a great many missing versions, so the look-up of its mark is salted where needed.
+    A group may hold a great many missing versions: a plain join, which adaptive execution splits where a group is large.
     """
     group = names.group_of(F.col("name")).alias("file_group")
     missing = missing_files(listed, done).select("report", "name", "published_at", group,
                                                  names.version_of(F.col("name")).alias("version"))
     marks = done.select("report", group).distinct().withColumn("_done", F.lit(True))
-    marked = join_unique(missing, marks, ["report", "file_group"], "left", spread=["name"])
+    marked = missing.join(marks, ["report", "file_group"], "left")
     return marked.withColumn("kind", F.when(F.col("_done"), "new_version").otherwise("new_group")).drop("_done")
 
 

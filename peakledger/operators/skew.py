@@ -13,7 +13,6 @@ from peakledger.operators.durable import checkpoint
 
 SHARES = 10_000   # most hot keys there are
 FLOOR = 200_000   # a key with fewer rows than this is never worth splitting
-FAN = 32          # pieces a hot key is salted into
 
 
 def hot_keys(df: DataFrame, keys: list[str], floor: int | None = None) -> DataFrame | None:
@@ -28,24 +27,6 @@ def hot_keys(df: DataFrame, keys: list[str], floor: int | None = None) -> DataFr
     return df.sparkSession.createDataFrame(found, fullest.schema) if found else None
 
 
-def join_unique(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "left", spread: list[str] | None = None,
-                floor: int | None = None) -> DataFrame:
-    """Join rows, some of whose keys may be hot, to ``facts`` that hold each key at most once.
-
-    Without hot keys this is a plain join. Otherwise hot keys are salted FAN ways on the row side and copied FAN times on the
-    fact side; all others carry salt 0.
-    """
-    hot = hot_keys(rows, on, floor)
-    if hot is None:
-        return rows.join(facts, on, how)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.pmod(F.xxhash64(*(spread or rows.columns)), F.lit(FAN)).cast("int")
-    tagged = rows.join(hot, on, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(FAN - 1))).otherwise(F.array(F.lit(0)))
-    copied = facts.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return tagged.join(copied, on + ["_salt"], how).drop("_salt")
-
-
 def split_hot_groups(df: DataFrame, keys: list[str], order: list[str], floor: int | None = None):
     """(cold rows, hot rows or None). Hot rows carry ``_slice``: contiguous, evenly filled runs of the (keys, order) sort.
 

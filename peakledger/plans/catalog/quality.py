@@ -65,7 +65,7 @@ def quality_report(spark, sf):
 
 MESSAGES = """
 whole AS (
-  SELECT event_id, event_type, event_id % 10 AS damage, '{"schema_version":1,"report":"' || ['RealtimeTotals', 'PredispTotals', 'ICIDemand'][event_id % 3 + 1]
+  SELECT event_id, event_type, event_id % 11 AS damage, '{"schema_version":1,"report":"' || ['RealtimeTotals', 'PredispTotals', 'ICIDemand'][event_id % 3 + 1]
     || '","measure":"ontario_demand","interval_start":"' || strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%SZ')
     || '","zone":"ONTARIO","version":' || (user_id + 1) || ',"value_mw":' || value || ',"published_at":"'
     || strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') || '","ingested_at":"' || strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ')
@@ -77,12 +77,14 @@ messages AS (
     WHEN 4 THEN left(text, length(text) - 1) WHEN 5 THEN replace(text, 'T', ' ')
     WHEN 6 THEN regexp_replace(text, '"version":\\d+', '"version":0') WHEN 7 THEN '[1]'
     WHEN 8 THEN regexp_replace(text, '"version":\\d+', '"version":1.5') WHEN 9 THEN replace(text, '"ONTARIO"', '"' || event_type || '"')
+    WHEN 10 THEN regexp_replace(text, '"interval_start":"[0-9]{4}-[0-9]{2}', '"interval_start":"2024-13')
     ELSE text END AS value FROM whole)"""
 INSTANT = "'^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$'"
 
 
 def _instant(name):
-    return f"WHEN NOT regexp_matches(j->>'$.{name}', {INSTANT}) THEN '{name}'"
+    return (f"WHEN NOT regexp_matches(j->>'$.{name}', {INSTANT}) OR (j->>'$.{name}' IS NOT NULL "
+            f"AND TRY_CAST(rtrim(j->>'$.{name}', 'Z') AS TIMESTAMP) IS NULL) THEN '{name}'")
 
 
 @register("contract_check", f"""WITH {MESSAGES}, parsed AS (
@@ -101,7 +103,7 @@ judged AS (
     lambda x: x IS NOT NULL) AS broken FROM parsed)
 SELECT array_to_string(broken, ',') AS violations, count(*) AS n_messages, min(event_id) AS first_event FROM judged GROUP BY 1""")
 def contract_check(spark, sf):
-    """One good and nine damaged kinds of message."""
+    """One good and ten damaged kinds of message."""
     checked = contract.check(damaged_messages(spark, sf))
     return checked.groupBy(F.array_join("violations", ",").alias("violations")).agg(
         F.count(F.lit(1)).alias("n_messages"), F.min("event_id").alias("first_event"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -46,8 +47,9 @@ def run(spark: SparkSession, listed: DataFrame, warehouse: Warehouse, topic_root
             changes.select("report", "name", "published_at"), ["report", "name"])
         if archive is not None:
             landed.archive(wanted, held, archive)
+        # Topics only grow: a second run of an interval sends next to the first, and merging twice changes nothing.
         key = start.strftime("%Y%m%dT%H%M%S")
-        result = ingest.run(wanted, warehouse, topic_root, "reconciliation", recorded_at, f"reconcile-{key}", remember=False)
+        result = ingest.run(wanted, warehouse, topic_root, "reconciliation", recorded_at, f"reconcile-{key}-{uuid.uuid4().hex}", remember=False)
         outcomes = result["outcomes"].select("report", "name", (F.col("outcome") == "files_parsed").alias("ok"))
         row.update(reconcile.republish_summary(outcomes, result["news"]).first().asDict())
         if deliver is not None:

@@ -92,7 +92,7 @@ def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_id, value: one contract message per event, whole for ids ending in 0 and damaged in a fixed way for the others."""
+    """event_id, value: one contract message per event, whole for ids divisible by 11 and damaged in a fixed way for the others."""
     rows = table(spark, sf_dir, "events")
     second, hour = clock.iso(F.col("ts")), clock.iso(clock.hour_of(F.col("ts")))
     text = F.concat(
@@ -101,7 +101,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("string"), F.lit(',"published_at":"'), second, F.lit('","ingested_at":"'), second,
         F.lit('","source_uri":"raw/'), F.col("event_type"), F.lit('","content_sha256":"'), F.sha2("props", 256),
         F.lit('","reason":"live"}'))
-    t, damage = F.col("text"), F.col("event_id") % 10
+    t, damage = F.col("text"), F.col("event_id") % 11
     value = (F.when(damage == 1, F.regexp_replace(t, '"value_mw":([^,]*),', '"value_mw":"$1",'))
              .when(damage == 2, F.replace(t, F.lit(',"reason":"live"'), F.lit("")))
              .when(damage == 3, F.replace(t, F.lit('"reason"'), F.lit('"note":1,"reason"')))
@@ -111,6 +111,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(damage == 7, F.lit("[1]"))
              .when(damage == 8, F.regexp_replace(t, r'"version":\d+', '"version":1.5'))
              .when(damage == 9, F.replace(t, F.lit('"ONTARIO"'), F.concat(F.lit('"'), F.col("event_type"), F.lit('"'))))
+             .when(damage == 10, F.regexp_replace(t, r'"interval_start":"\d{4}-\d{2}', '"interval_start":"2024-13'))
              .otherwise(t))
     return rows.withColumn("text", text).select("event_id", value.alias("value"))
 

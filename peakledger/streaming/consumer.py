@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,19 +16,19 @@ FLUSH_SECONDS = 60  # fixed value: how often a live batch is written
 
 class Consumer:
     """The body of the stream. A failed write raises, so the batch is not marked as done and is read again; the merges make a
-    second attempt harmless, and a batch that did get in is recognised by its number."""
+    second attempt harmless."""
 
-    def __init__(self, warehouse: Warehouse, quarantine: str, name: str = "demand", metrics: str | None = None):
-        self.warehouse, self.quarantine, self.name, self.metrics = warehouse, quarantine, name, metrics
+    def __init__(self, warehouse: Warehouse, quarantine: str, name: str = "demand", metrics: str | None = None, attempt: str = "first"):
+        self.warehouse, self.quarantine, self.name, self.metrics, self.attempt = warehouse, quarantine, name, metrics, attempt
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         begun = time.monotonic()
         checked = topics.judged(batch).persist()
         try:
             bad = checked.where(F.size("violations") > 0)
-            # same folder on every attempt at this batch
+            # the same folder on every try of this batch, another one in a replay from another checkpoint
             (bad.select("key", "value", "topic", "violations").write.mode("overwrite")
-             .parquet(f"{self.quarantine}/source={self.name}/batch={batch_id}"))
+             .parquet(f"{self.quarantine}/source={self.name}/run={self.attempt}/batch={batch_id}"))
             good = contract.decode(checked)
             self.warehouse.write_batch(good, self.name, batch_id)
             if self.metrics:
@@ -42,18 +43,19 @@ class Consumer:
         newest = good.agg(F.max("published_at").alias("newest")).select("newest").scalar()
         row = counts.select(F.lit(self.name).alias("source"), F.lit(batch_id).alias("batch_id"), "events_written", "events_invalid",
                             newest.alias("newest_published"), F.lit(round(seconds, 3)).alias("batch_seconds"))
-        row.write.mode("overwrite").json(f"{self.metrics}/source={self.name}/batch={batch_id}")
+        row.write.mode("overwrite").json(f"{self.metrics}/source={self.name}/run={self.attempt}/batch={batch_id}")
 
 
 def run(spark: SparkSession, topic_root: str, warehouse: Warehouse, checkpoint: str, quarantine: str, name: str = "demand",
         live: bool = False, files_per_batch: int | None = None, metrics: str | None = None, kafka: dict | None = None):
     """Start the consumer. Live runs write every minute; a replay takes everything there is and stops.
 
-    A replay from the beginning is a run with a new checkpoint folder and a new ``name``.
+    A replay from the beginning is a run with a new checkpoint folder. What it sets aside and measures is kept apart by that folder.
     """
+    attempt = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
     source = topics.stream(spark, topic_root, files_per_batch=files_per_batch, kafka=kafka)
     trigger = {"processingTime": f"{FLUSH_SECONDS} seconds"} if live else {"availableNow": True}
-    return (source.writeStream.queryName(name).foreachBatch(Consumer(warehouse, quarantine, name, metrics))
+    return (source.writeStream.queryName(name).foreachBatch(Consumer(warehouse, quarantine, name, metrics, attempt))
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,6 +13,7 @@ from peakledger.streaming import topics
 from peakledger.streaming.warehouse import Warehouse
 
 REPORT = "ICIDemand"
+MARKET = timedelta(hours=5)  # fixed value: market time is five hours behind UTC
 
 
 def utc_now() -> datetime:
@@ -43,9 +44,11 @@ class Evaluator:
         lo, hi = merge.day_bounds(recent)
         if lo is None:
             return
-        # A decision looks back to the start of its base period, one day further for the day-ahead estimate.
-        market = date(lo.year if lo.month >= 5 else lo.year - 1, 5, 1)
-        stored = self.history.current(market.replace(day=1, month=4), date(hi.year + 1, 1, 1))
+        # A decision looks back to the start of its base period, one day further for the day-ahead estimate. Base periods change at
+        # midnight market time, five hours after the UTC date does.
+        earliest = lo - MARKET
+        base = date(earliest.year if earliest.month >= 5 else earliest.year - 1, 5, 1)
+        stored = self.history.current(base - timedelta(days=1), date(hi.year + 1, 1, 1))
         zones = recent.select("zone").distinct()
         points = (stored.join(zones, "zone", "left_semi").where(F.col("report") == REPORT)
                   .select("zone", "interval_start", F.col("value_mw").alias("mw")))

@@ -110,12 +110,14 @@ class Warehouse:
     # ---- writing ----
 
     def write_batch(self, batch: DataFrame, source: str = "", batch_id: int = -1) -> bool:
-        """Merge a batch of events into both demand tables. False if there was nothing to do or the batch is already in.
+        """Merge a batch of events into both demand tables. False if there was nothing to do.
 
-        Only the days between the batch's first and last interval are read from the stored tables.
+        A batch that comes again changes nothing, whatever its number: the merges add only rows that are missing or newer. Numbers
+        are no proof that a batch is in, as a replay and another checkpoint count from zero too. Only the days between the batch's
+        first and last interval are read from the stored tables. An event without a full key is refused, as no day would show it.
         """
-        if batch_id >= 0 and self.has(source, batch_id):
-            return False
+        if not batch.where(" OR ".join(f"{c} IS NULL" for c in (*CURRENT_KEY, "version"))).isEmpty():
+            raise ValueError("an event without report, interval, zone or version")
         now = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
         loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(now).cast("timestamp_ntz"))
         lo, hi = merge.day_bounds(loaded)
@@ -128,8 +130,6 @@ class Warehouse:
 
     def write_signals(self, rows: DataFrame, source: str = "", batch_id: int = -1) -> bool:
         """Insert decisions that are not in the table yet."""
-        if batch_id >= 0 and self.has(source, batch_id):
-            return False
         span = rows.agg(F.min("candidate_hour"), F.max("candidate_hour")).first()
         if span[0] is None:
             return False

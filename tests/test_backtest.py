@@ -2,6 +2,7 @@ import random
 import statistics
 from datetime import datetime, timedelta
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from peakledger.operators import series
@@ -26,61 +27,55 @@ def summer(rng, years, zone):
     return points
 
 
-def by_hand(points, train, holdout):
-    best = {}
-    for t in sorted(points):
-        day = plain.market_day(t)
-        if day not in best or points[t] > points[best[day]]:
-            best[day] = t
-    truth = {}
-    for year in train + holdout:
-        days = [d for d in best if d.year - (d.month < 5) == year]
-        truth[year] = sorted(sorted((best[d] for d in days), key=lambda t: (-points[t], t))[:5])
-    seen = [t - plain.EST for y in train for t in truth[y]]
-    months, hours = {t.month for t in seen}, [t.hour + 1 for t in seen]
-    window = (sorted(months), max(1, min(hours) - 1), min(24, max(hours) + 1))
-
-    def score(year, variant, margin):
-        mine = [t for t in points if plain.market_day(t).year - (plain.market_day(t).month < 5) == year]
-        flagged = {t for t in mine if plain.decide(points, variant, t, margin, *window)[0]}
-        inside = sum((t - plain.EST).month in window[0] and window[1] <= (t - plain.EST).hour + 1 <= window[2] for t in mine)
-        caught = [p for p in truth[year] if p in flagged]
-        leads = [(p - plain.decided_at(variant, p)).total_seconds() / 3600 for p in caught]
-        return {"captured": len(caught), "alert_hours": len(flagged), "alert_days": len({plain.market_day(t) for t in flagged}),
-                "in_window_hours": inside, "median_lead_hours": round(statistics.median(leads), 1) if leads else None,
-                "missed": [p for p in truth[year] if p not in flagged]}
-    return truth, window, score
-
-
-def pick(front, target):
-    good = [f for f in front if f[1] >= target]
-    return (min(good, key=lambda f: (f[2], -f[0])) if good else max(front, key=lambda f: (f[1], -f[2])))[0]
-
-
-def test_walk_forward_against_hour_by_hour_replay(spark, monkeypatch):
-    monkeypatch.setattr(backtest, "GRID", [0.9, 0.97, 1.0])  # the replay by hand is slow
-    rng = random.Random(4)
-    points = summer(rng, TRAIN + HOLDOUT, "Z")
+def tables(points):
+    """Every hour's market day, base year and, per variant, the largest margin at which it is flagged (nan if none)."""
+    known = plain.Series(points)
+    hours = pd.DataFrame({"t": sorted(points)})
+    hours["mw"] = hours["t"].map(points)
+    hours["day"] = hours["t"].map(plain.market_day)
+    hours["year"] = hours["day"].map(lambda d: d.year if d.month > 4 else d.year - 1)
+    local = hours["t"] - plain.EST
+    hours["month"], hours["he"] = local.dt.month, local.dt.hour + 1
+    for variant in plain.MINUTES_AHEAD:
+        bar = [known.bar(variant, t) for t in hours["t"].dt.to_pydatetime()]
+        guess = [known.estimate(variant, t) for t in hours["t"].dt.to_pydatetime()]
+        hours[variant] = [g / b if b is not None and g is not None else float("nan") for g, b in zip(guess, bar)]
+    highest = hours.sort_values(["mw", "t"], ascending=[False, True]).drop_duplicates("day").groupby("year").head(5)
+    return hours, highest.sort_values("t")
+
+
+def test_walk_forward_against_thresholds_per_hour(spark, monkeypatch):
+    """An hour is flagged at all margins up to its own threshold, so each score is a count of thresholds."""
+    monkeypatch.setattr(backtest, "GRID", [0.9, 0.97, 1.0])
+    points = summer(random.Random(4), TRAIN + HOLDOUT, "Z")
     frame = spark.createDataFrame([("Z", t, mw) for t, mw in points.items()], POINT)
     result = {k: v.collect() for k, v in backtest.walk_forward(frame, TRAIN, HOLDOUT).items()}
-    truth, window, score = by_hand(points, TRAIN, HOLDOUT)
+    hours, peaks = tables(points)
+    seen = peaks[peaks["year"].isin(TRAIN)]
     w = result["window"][0]
-    assert (w["months"], w["he_min"], w["he_max"]) == window
-    margins = {r["variant"]: r["margin"] for r in result["margins"]}
-    missed = {}
-    for r in result["missed"]:
-        missed.setdefault((r["base_year"], r["variant"]), []).append(r["peak_hour"])
-    grid = {(r["base_year"], r["variant"], r["margin"]): r for r in result["grid"]}
+    assert (w["months"], w["he_min"], w["he_max"]) == (sorted(set(seen["month"])), max(1, seen["he"].min() - 1), min(24, seen["he"].max() + 1))
+    hours = hours[hours["month"].isin(w["months"]) & hours["he"].between(w["he_min"], w["he_max"])]
+    grid = pd.DataFrame([r.asDict() for r in result["grid"]])
     assert len(grid) == 3 * 4 * 3
-    for variant in ("oracle", "persist2", "persist4", "day_ahead"):
-        mine = {(y, m): score(y, variant, m) for y in TRAIN + HOLDOUT for m in backtest.GRID}
-        for (year, margin), expected in mine.items():
-            row = grid[(year, variant, margin)]
-            assert {k: row[k] for k in expected if k != "missed"} == {k: v for k, v in expected.items() if k != "missed"}, (year, variant, margin)
-        front = [(m, sum(mine[(y, m)]["captured"] for y in TRAIN), sum(mine[(y, m)]["alert_hours"] for y in TRAIN)) for m in backtest.GRID]
-        assert margins[variant] == pick(front, backtest.TARGET)
-        for year in TRAIN + HOLDOUT:
-            assert sorted(missed.get((year, variant), [])) == mine[(year, margins[variant])]["missed"]
+    for r in grid.itertuples():
+        mine, top = hours[hours["year"] == r.base_year], peaks[peaks["year"] == r.base_year]
+        flagged = mine[mine[r.variant] >= r.margin]
+        caught = top[top["t"].isin(flagged["t"])]
+        leads = [(t - plain.decided_at(r.variant, t)).total_seconds() / 3600 for t in caught["t"].dt.to_pydatetime()]
+        lead = round(statistics.median(leads), 1) if leads else None
+        assert (r.captured, r.alert_hours, r.alert_days, r.in_window_hours) == (len(caught), len(flagged), flagged["day"].nunique(), len(mine))
+        assert lead == r.median_lead_hours or lead is None and pd.isna(r.median_lead_hours)
+    chosen = {r["variant"]: r["margin"] for r in result["margins"]}
+    for variant, trained in grid[grid["base_year"].isin(TRAIN)].groupby("variant"):
+        front = trained.groupby("margin", as_index=False)[["captured", "alert_hours"]].sum()
+        good = front[front["captured"] >= backtest.TARGET].sort_values(["alert_hours", "margin"], ascending=[True, False])
+        rest = front.sort_values(["captured", "alert_hours", "margin"], ascending=[False, True, True])
+        assert chosen[variant] == (good if len(good) else rest)["margin"].iloc[0]
+    missed = {(r["base_year"], r["variant"], r["peak_hour"]) for r in result["missed"]}
+    shown = set(hours["t"])
+    expected = {(y, v, t.to_pydatetime()) for v in plain.MINUTES_AHEAD for y, t in zip(peaks["year"], peaks["t"])
+                if t not in shown or not hours.loc[hours["t"] == t, v].iloc[0] >= chosen[v]}
+    assert missed == expected
 
 
 def test_margin_choice(spark):

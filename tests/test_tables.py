@@ -51,13 +51,16 @@ def test_merges(spark, tmp_path, name):
     assert (pick(house.raw()), pick(house.current())) == (raw, current)
 
 
-def test_the_warehouse_skips_known_batches_and_hides_unfinished_ones(spark, tmp_path):
+def test_the_warehouse_merges_whatever_the_number_and_hides_unfinished_commits(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "w"))
-    assert house.write_batch(frame(spark, [row()]), "s", 1) and not house.write_batch(frame(spark, [row(version=2)]), "s", 1)
+    assert house.write_batch(frame(spark, [row()]), "s", 1) and house.write_batch(frame(spark, [row()]), "s", 1)
+    assert house.raw().count() == house.current().count() == 1
+    with pytest.raises(ValueError, match="without"):
+        house.write_batch(frame(spark, [row()]).withColumn("interval_start", F.lit(None).cast("timestamp_ntz")), "s", 2)
     assert not house.write_batch(frame(spark, []), "s", 2)
     # a job that died before its commit leaves a folder nobody reads
     frame(spark, [row(version=9)]).withColumn("day", F.lit(date(2026, 9, 28))).write.partitionBy("day").parquet(
-        f"{house.root}/raw_demand_versions/commit=2")
+        f"{house.root}/raw_demand_versions/commit=3")
     assert [r["version"] for r in house.raw().collect()] == [1]
     house.write_batch(frame(spark, [row(version=3)]), "s", 3)
     assert sorted(r["version"] for r in house.raw().collect()) == [1, 3]
