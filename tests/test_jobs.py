@@ -35,8 +35,8 @@ def sent(spark, root):
     return spark.read.parquet(root)
 
 
-def consume(spark, tmp, house, name="demand", **more):
-    query = consumer.run(spark, str(tmp / "topics"), house, str(tmp / f"cp-{name}"), str(tmp / "bad"), name, **more)
+def consume(spark, tmp, house, checkpoint="cp", **more):
+    query = consumer.run(spark, str(tmp / "topics"), house, str(tmp / checkpoint), str(tmp / "bad"), **more)
     query.awaitTermination()
     assert query.exception() is None
     return query
@@ -67,7 +67,7 @@ def test_from_files_to_tables_and_a_replay(spark, tmp_path):
 
     before = merge.checksum(house.raw()).first(), merge.checksum(house.current()).first()
     house.truncate()
-    consume(spark, tmp_path, house, "replay")
+    consume(spark, tmp_path, house, "cp-replay")  # under the same name, with batch numbers from zero again
     assert (merge.checksum(house.raw()).first(), merge.checksum(house.current()).first()) == before
 
 
@@ -78,11 +78,15 @@ def test_bad_messages_are_kept_aside_and_never_block(spark, tmp_path):
               "ingested_at timestamp_ntz, source_uri string, content_sha256 string, reason string")
     good = topics.routed(spark.createDataFrame([row], schema))
     bad = spark.createDataFrame([("k", "not json", events.TOPIC["ICIDemand"]), ("k", json.dumps({"junk": 1}), events.TOPIC["ICIDemand"])], topics.MESSAGE)
-    topics.send(good.unionByName(bad.select("key", "value", "topic")), str(tmp_path / "topics"), "b")
+    no_such_month = good.withColumn("value", F.replace("value", F.lit("2026-09-28T12"), F.lit("2026-13-28T12")))
+    topics.send(good.unionByName(bad.select("key", "value", "topic")).unionByName(no_such_month), str(tmp_path / "topics"), "b")
     query = consume(spark, tmp_path, house)
     assert house.raw().count() == 1
-    assert spark.read.parquet(str(tmp_path / "bad")).count() == 2
-    assert consumer.progress_rows(spark, query).agg(F.sum("input_rows")).first()[0] == 3
+    aside = spark.read.parquet(str(tmp_path / "bad"))
+    assert aside.count() == 3 and aside.where(F.array_contains("violations", "interval_start")).count() == 1
+    assert consumer.progress_rows(spark, query).agg(F.sum("input_rows")).first()[0] == 4
+    consume(spark, tmp_path, house, "cp-other")  # a replay keeps what the first run set aside
+    assert spark.read.parquet(str(tmp_path / "bad")).groupBy("run").count().count() == 2
 
 
 def test_the_file_stream_takes_each_file_once(spark, tmp_path):
@@ -130,7 +134,7 @@ def test_reconciliation_finds_sends_and_records_a_missed_hour(spark, tmp_path):
     start, end = datetime(2026, 9, 28, 8), datetime(2026, 9, 29, 8)
     turn = iter(range(9))
     go = lambda: reconciliation.run(spark, listed, house, str(tmp_path / "topics"), start, end, datetime(2026, 9, 29, 8, 5),
-                                    deliver=lambda: consume(spark, tmp_path, house, f"catch-up-{next(turn)}"))
+                                    deliver=lambda: consume(spark, tmp_path, house, f"cp-catch-up-{next(turn)}"))
     out = go()
     assert out["failure"] is None
     run = out["run"]
@@ -138,7 +142,9 @@ def test_reconciliation_finds_sends_and_records_a_missed_hour(spark, tmp_path):
     assert (run["events_sent"], run["events_landed"], run["files_with_new_values"], run["status"]) == (12, 12, 12, "ok")
     assert house.current().select("interval_start", "version", "value_mw").orderBy("interval_start").collect() == before
     assert house.rows(HANDLED).count() == 12 and house.rows(STATE).count() >= 12
-    second = go()["run"]  # nothing left; the run's row is replaced
+    events_before = sorted(map(tuple, sent(spark, str(tmp_path / "topics")).select("key", "value").collect()))
+    second = go()["run"]  # nothing left; the run's row is replaced, and what the first run sent stays
+    assert sorted(map(tuple, sent(spark, str(tmp_path / "topics")).select("key", "value").collect())) == events_before
     assert (second["new_group_files"], second["events_sent"], second["status"]) == (0, 0, "ok")
     assert [(r["run_key"], r["events_sent"]) for r in house.runs().collect()] == [(start.isoformat(), 0)]
     assert out["quality"]["current_matches_raw"] == 0 and out["quality"]["duplicate_keys"] == 0
@@ -156,6 +162,23 @@ def test_a_failed_reconciliation_still_leaves_its_row(spark, tmp_path):
     assert house.runs().count() == 1 and house.rows(HANDLED).count() == 0
 
 
+def test_the_last_hours_of_april_belong_to_the_old_base_period(spark, tmp_path):
+    est = lambda *a: datetime(*a) + timedelta(hours=5)
+    schema = ("report string, measure string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
+              "ingested_at timestamp_ntz, source_uri string, content_sha256 string, reason string")
+    def event(t, mw, reason="backfill"):
+        return ("ICIDemand", "ontario_demand", t, "ONTARIO", 1, mw, t, t + timedelta(minutes=75), "raw/x", "a" * 64, reason)
+    rows = [event(est(2025, 7, d, 12), 24000.0) for d in range(1, 11)] + [event(est(2026, 4, d, 12), 15000.0) for d in range(1, 30)]
+    newest = est(2026, 4, 30, 21)  # hour-ending 22 in April, 1 May in UTC
+    topics.send(topics.routed(spark.createDataFrame(rows, schema)), str(tmp_path / "topics"), "history")
+    topics.send(topics.routed(spark.createDataFrame([event(newest, 16000.0, "live")], schema)), str(tmp_path / "topics"), "live")
+    params = spark.createDataFrame([("ONTARIO", "persist2", 1.0, [4], 20, 24)], "zone string, variant string, margin double, months array<int>, he_min int, he_max int")
+    house = Warehouse(spark, str(tmp_path / "history"))
+    evaluator.run(spark, str(tmp_path / "topics"), house, params, str(tmp_path / "cp"), str(tmp_path / "out"), now=lambda: newest + timedelta(minutes=75)).awaitTermination()
+    got = house.signals().collect()
+    assert [(r["candidate_hour"], r["estimate_mw"], r["bar_mw"], r["risk"]) for r in got] == [(est(2026, 4, 30, 23), 16000.0, 24000.0, False)]
+
+
 def test_live_signals_are_written_once(spark, tmp_path):
     rng = random.Random(2)
     est = lambda *a: datetime(*a) + timedelta(hours=5)

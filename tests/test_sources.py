@@ -29,8 +29,8 @@ def test_five_minute_files(spark):
     assert row["rows"][11]["value_mw"] == 16098.9 and row["rows"][11]["total_load_mw"] == 17098.9
     assert [r["interval_start"] for r in got["PUB_RealtimeTotals_prefix_v3.xml"]["rows"]][0] == datetime(2026, 9, 29, 4)
     errors = {k: got[f"PUB_RealtimeTotals_{k}.xml"]["error"] for k in texts if k not in ("ok_v12", "prefix_v3")}
-    assert errors == {"cut_v1": "bad XML", "none_v1": "no intervals found", "order_v2": "intervals are not 1..N in order",
-                      "hour_v2": "bad delivery date or hour", "miss_v2": "missing or bad quantity", "text_v2": "missing or bad quantity"}
+    assert errors == {"cut_v1": "not well-formed", "none_v1": "no interval blocks", "order_v2": "intervals do not count up from 1",
+                      "hour_v2": "day or hour unreadable", "miss_v2": "quantity missing or unreadable", "text_v2": "quantity missing or unreadable"}
 
 
 def test_forecast_files_say_the_same_in_both_forms(spark):
@@ -43,10 +43,10 @@ def test_forecast_files_say_the_same_in_both_forms(spark):
     assert got["PUB_PredispTotals_a_v1.xml"]["rows"] == got["PUB_PredispTotals_a_v1.csv"]["rows"]
     rows = got["PUB_PredispTotals_a_v1.csv"]["rows"]
     assert len(rows) == 24 and rows[0]["interval_start"] == datetime(2026, 9, 28, 5) and rows[18]["value_mw"] == LOADS[18]
-    assert got["PUB_PredispTotals_b_v1.xml"]["error"] == got["PUB_PredispTotals_b_v1.csv"]["error"] == "expected hours 1..24 in order"
-    assert got["PUB_PredispTotals_c_v1.csv"]["error"].startswith("line 6: bad row")
-    assert "unexpected header" in got["PUB_PredispTotals_d_v1.csv"]["error"] and "delivery date" in got["PUB_PredispTotals_e_v1.csv"]["error"]
-    assert got["PUB_PredispTotals_f_v1.xml"]["error"] == "bad XML" and "not a versioned file" in got["PUB_PredispTotals_a.xml"]["error"]
+    assert got["PUB_PredispTotals_b_v1.xml"]["error"] == got["PUB_PredispTotals_b_v1.csv"]["error"] == "hours do not run from 1 to 24"
+    assert got["PUB_PredispTotals_c_v1.csv"]["error"].startswith("line 6: unreadable row")
+    assert "first lines" in got["PUB_PredispTotals_d_v1.csv"]["error"] and "names no day" in got["PUB_PredispTotals_e_v1.csv"]["error"]
+    assert got["PUB_PredispTotals_f_v1.xml"]["error"] == "not well-formed" and "not a versioned file" in got["PUB_PredispTotals_a.xml"]["error"]
 
 
 def test_hourly_year_files(spark):
@@ -60,8 +60,8 @@ def test_hourly_year_files(spark):
     assert all(b["interval_start"] - a["interval_start"] == timedelta(hours=1) for a, b in zip(rows, rows[1:]))
     assert sum(r["delivery_date"] == date(2022, 11, 6) for r in rows) == 24
     errors = [got[f"PUB_ICIDemand_2022_v{i}.csv"]["error"] for i in range(2, 6)]
-    assert errors[0] == "file has a header but no data rows" and errors[1].startswith("line 8764: bad row")
-    assert errors[2].startswith("line 28: bad row") and "unexpected header" in errors[3]
+    assert errors[0] == "no rows below the header" and errors[1].startswith("line 8764: unreadable row")
+    assert errors[2].startswith("line 28: unreadable row") and "first lines" in errors[3]
     assert got["PUB_ICIDemand_2022_v6.csv"]["rows"] == rows
 
 
@@ -76,7 +76,7 @@ def test_peak_tracker(spark):
     assert [(r["rank"], r["delivery_date"], r["hour_ending"], r["demand_mw"], r["status"]) for r in top] == [
         (i, *p, "Final") for i, p in enumerate(peaks, 1)]
     assert top[0]["interval_start"] == datetime(2022, 7, 19, 22)
-    assert [got[k][0]["error"] for k in "bcd"] == ["expected exactly one TOP_ONTARIO_DEMAND dataset", "no peak rows found", "bad XML"]
+    assert [got[k][0]["error"] for k in "bcd"] == ["not exactly one set of demand peaks", "the set holds no peaks", "not well-formed"]
 
 
 def test_events_of_a_file(spark):
@@ -93,11 +93,11 @@ def test_events_of_a_file(spark):
 def test_listing_and_names(spark):
     pages = spark.createDataFrame([("ICIPeakTracker", samples.LISTING)], "report string, html string")
     got = {r["name"]: r["published_at"] for r in listing.entries(pages).collect()}
-    assert got["PUB_ICIPeakTracker_2022_v8501.xml"] == datetime(2024, 10, 23, 18, 4)
-    assert got["PUB_ICIPeakTracker_2026_v3522.xml"] == datetime(2026, 9, 27, 4, 11) and len(got) == 3
+    assert got["PUB_ICIPeakTracker_2023_v47.xml"] == datetime(2024, 2, 5, 13, 40)
+    assert got["PUB_ICIPeakTracker_2025_v106.xml"] == datetime(2026, 1, 1, 2, 25) and len(got) == 3
     assert listing.links(pages).count() == 3
     assert {r["name"] for r in listing.wanted(listing.links(pages)).collect()} == {
-        "PUB_ICIPeakTracker_2022_v8501.xml", "PUB_ICIPeakTracker_2026_v3522.xml"}
+        "PUB_ICIPeakTracker_2023_v47.xml", "PUB_ICIPeakTracker_2025_v106.xml"}
     row = spark.sql("SELECT 'PUB_ICIDemand_2026_v3571.csv' AS n, 'PUB_RealtimeTotals_2026092808_v12.xml' AS r, 'PUB_X.xml' AS b").select(
         names.version_of(F.col("n")).alias("v"), names.group_of(F.col("n")).alias("g"), names.stamp_of(names.group_of(F.col("r"))).alias("s"),
         names.version_of(F.col("b")).alias("none"), names.is_wanted(F.lit("ICIDemand"), F.col("n")).alias("yes"),
@@ -127,7 +127,7 @@ def test_folders_manifest_and_archive(spark, tmp_path):
 
 
 GOOD = {"schema_version": 1, "report": "RealtimeTotals", "measure": "ontario_demand", "interval_start": "2026-09-28T12:00:00Z", "zone": "ONTARIO",
-        "version": 12, "value_mw": 16087.9, "published_at": "2026-09-28T12:54:48Z", "ingested_at": "2026-09-28T12:56:00Z", "source_uri": "raw/x",
+        "version": 12, "value_mw": 16087.9, "published_at": "2026-09-28T13:20:05Z", "ingested_at": "2026-09-28T13:21:30Z", "source_uri": "raw/x",
         "content_sha256": "a" * 64, "reason": "live"}
 
 
