@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in spark.checkpoint.dir. Only a local session may fall back to a folder of its own."""
+    """The folder the cluster names in spark.checkpoint.dir. Only a local session may fall back, to one beside its warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="peakledger-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
