@@ -68,9 +68,12 @@ def spans_of(text: str | None, ranks: str, pattern: str) -> list[tuple[str, int,
     if longest >= 16:
         found += [("access", *m.span()) for m in ACCESS.finditer(text)] + [("hex", *m.span()) for m in HEX.finditer(text)]
     if longest >= MIN_LENGTH:
-        shapes = sorted(found, key=lambda s: s[1])
+        shapes, at, reach = sorted((a, b) for _, a, b in found), 0, 0
         for m in LONG.finditer(text):
-            if known(m[0]) or any(a < m.end() and m.start() < b for _, a, b in shapes):
+            # reach: the last end among the shapes that begin before this string's end
+            while at < len(shapes) and shapes[at][0] < m.end():
+                at, reach = at + 1, max(reach, shapes[at][1])
+            if reach > m.start() or known(m[0]):
                 continue
             if ranks not in _loaded:
                 _loaded[ranks] = Vocabulary(ranks, pattern)
