@@ -24,6 +24,13 @@ def changed_values(events: DataFrame, floor: int | None = None) -> DataFrame:
     return before.where(~F.col("value_mw").eqNullSafe(F.col("previous_mw")))
 
 
+def judged_values(events: DataFrame, floor: int | None = None) -> DataFrame:
+    """report, outcome of every event in version order: produced if its value differs from the one before, else deduplicated."""
+    before = previous(events, CURRENT_KEY, VERSION_ORDER, "value_mw", "previous_mw", floor)
+    same = F.col("value_mw").eqNullSafe(F.col("previous_mw"))
+    return before.select("report", F.when(same, "events_deduplicated").otherwise("events_produced").alias("outcome"))
+
+
 def silent_restatements(events: DataFrame) -> DataFrame:
     """Versions that were issued with more than one value."""
     return (events.groupBy(*RAW_KEY).agg(F.count_distinct("value_mw").alias("n_values"), F.min("value_mw").alias("lowest"),

@@ -20,18 +20,16 @@ def positions(rows: DataFrame, group: list[str], position: str, full: int) -> Da
             .drop("_distinct", "_lo", "_hi"))
 
 
-def hourly_against_fine(rows: DataFrame) -> DataFrame:
-    """Per report: hours compared, hours whose rounded mean of the five-minute values is off the hourly value by over 0.5.
+def hourly_against_fine(hourly: DataFrame, fine: DataFrame) -> DataFrame:
+    """Per report: hours compared, hours whose hourly value is off the rounded mean of their five-minute values by over 0.5.
 
-    ``rows``: report, ts, value. The hourly value is the hour's total spread over its five-minute slots.
+    ``hourly``: report, interval_start, value_mw. ``fine``: the same, one row per five minutes. Hours that one of the two
+    series lacks are not compared.
     """
-    money = F.col("value").cast("decimal(18,2)")
-    hour = clock.hour_of(F.col("ts"))
-    slot = F.floor(F.minute("ts") / 5)
-    fine = (rows.groupBy("report", hour.alias("hour"), slot.alias("slot")).agg(F.sum(money).alias("mw"))
-            .groupBy("report", "hour").agg(F.count(F.lit(1)).alias("slots"), F.sum("mw").cast("double").alias("fine_total")))
-    coarse = rows.groupBy("report", hour.alias("hour")).agg(F.sum(money).cast("double").alias("total"))
-    mean = F.rint(F.col("fine_total") / F.col("slots"))
-    return fine.join(coarse, ["report", "hour"]).groupBy("report").agg(
-        F.count(F.lit(1)).alias("hours"), F.count_if(F.abs(mean - F.rint(F.col("total") / F.col("slots"))) > 0.5).alias("apart"),
-        F.max("slots").alias("most_slots"), F.max(mean).alias("highest_mean"))
+    hour = clock.hour_of(F.col("interval_start")).alias("interval_start")
+    means = fine.groupBy("report", hour).agg(
+        F.count(F.lit(1)).alias("slots"), F.sum(F.col("value_mw").cast("decimal(18,2)")).cast("double").alias("_total"))
+    means = means.withColumn("mean_mw", F.rint(F.col("_total") / F.col("slots")))
+    return means.join(hourly, ["report", "interval_start"]).groupBy("report").agg(
+        F.count(F.lit(1)).alias("hours"), F.count_if(F.abs(F.col("mean_mw") - F.col("value_mw")) > 0.5).alias("apart"),
+        F.max("slots").alias("most_slots"), F.max("mean_mw").alias("highest_mean"))

@@ -85,34 +85,34 @@ def failure_alerts(failures: DataFrame, threshold: float = FAILED_FILES, width:
     return _looking_back(per_minute, width, F.sum("value").cast("double")).where(F.col("observed") > threshold)
 
 
-def silences(samples: DataFrame, limit_minutes: int = SILENCE_MINUTES) -> DataFrame:
-    """Stretches without data longer than the limit: service, silent_from, silent_until, seconds.
+def silences(samples: DataFrame, limit_minutes: int = SILENCE_MINUTES, as_of: Column | None = None) -> DataFrame:
+    """Stretches without data longer than the limit: service, silent_from, silent_until, seconds, still_silent.
 
-    Samples are first reduced to the first and last of each block half as long as the limit; no silence fits inside one.
+    With ``as_of``, a silence that goes on at that instant is reported too, up to it. Samples are first reduced to the first and last of each block half as long as the limit; no silence fits inside one.
     """
     width = limit_minutes * 30
     block = F.floor(clock.seconds_between(F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts")) / width)
     blocks = samples.groupBy("service", block.alias("block")).agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
     following = F.lead("first").over(Window.partitionBy("service").orderBy("block"))
     seconds = clock.seconds_between(F.col("last"), F.col("next"))
-    return (blocks.withColumn("next", following).where(F.col("next") > F.col("last") + clock.minutes(limit_minutes))
+    ends = blocks.withColumn("_back", following).withColumn("next", F.coalesce("_back", F.lit(None).cast("timestamp_ntz") if as_of is None else as_of))
+    return (ends.where(F.col("next") > F.col("last") + clock.minutes(limit_minutes))
             .select("service", F.col("last").alias("silent_from"), F.col("next").alias("silent_until"),
-                    seconds.cast("double").alias("seconds")))
+                    seconds.cast("double").alias("seconds"), F.col("_back").isNull().alias("still_silent")))
 
 
 def health_rollup(samples: DataFrame) -> DataFrame:
     """Dashboard rows: per service and hour, samples, highest, total, rate per second, and the exact 95th percentile.
 
-    The percentile is that of hundredths, taken by counting values, so a crowded hour is never sorted in one place.
+    The percentile is that of the values as they are, taken by counting them in blocks, so a crowded hour is never sorted in one
+    place. The total is summed in millionths, which makes it the same in any order.
     """
-    period = clock.hour_of(F.col("ts"))
-    cents = F.rint(F.col("value") * 100).cast("bigint")
-    rows = samples.select("service", period.alias("period"), "value", cents.alias("cents"))
+    rows = samples.select("service", clock.hour_of(F.col("ts")).alias("period"), "value")
     sums = rows.groupBy("service", "period").agg(
         F.count(F.lit(1)).alias("samples"), F.max("value").alias("highest"),
-        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total"))
-    high = selection.nth_values(rows, ["service", "period"], "cents", {"p": F.floor(F.col("n") * F.lit(P95))})
-    return (sums.join(high.select("service", "period", (F.col("p") / 100).alias("p95")), ["service", "period"])
+        F.sum(F.col("value").cast("decimal(24,6)")).cast("double").alias("total"))
+    high = selection.nth_values(rows, ["service", "period"], "value", {"p95": F.floor(F.col("n") * F.lit(P95))}, block=0.25)
+    return (sums.join(high.select("service", "period", "p95"), ["service", "period"])
             .withColumn("per_second", F.col("samples") / 3600.0))
 
 

@@ -71,21 +71,24 @@ def landed(sent: DataFrame, current: DataFrame) -> DataFrame:
     return hits.agg(F.coalesce(F.sum(F.col("_n") * F.col("_held")), F.lit(0)).cast("bigint").alias("events_landed"))
 
 
+def grouped_names(done: DataFrame, report: str) -> DataFrame:
+    """name, file_group: each name once. The group is made from an aggregate, so a filter on it stays above the exchange: no
+    pattern runs on repeated rows, and all uses of this frame in one plan share the exchange."""
+    once = done.where(F.col("report") == report).groupBy("name").agg(F.max("name").alias("_name"))
+    return once.select("name", names.group_of(F.col("_name")).alias("file_group"))
+
+
 def complete_groups(done: DataFrame, report: str = "RealtimeTotals") -> DataFrame:
     """file_group, stamp, files for groups that have every version."""
-    files = done.where(F.col("report") == report).select("name").distinct()
-    group = names.group_of(F.col("name"))
-    counts = files.groupBy(group.alias("file_group")).agg(F.count(F.lit(1)).alias("files"))
-    return counts.withColumn("stamp", names.stamp_of(F.col("file_group"))).where(F.col("files") >= COMPLETE_GROUP)
+    counts = grouped_names(done, report).groupBy("file_group").agg(F.count(F.lit(1)).alias("files"))
+    return counts.where(F.col("files") >= COMPLETE_GROUP).withColumn("stamp", names.stamp_of(F.col("file_group")))
 
 
 def newest_complete_group(done: DataFrame, cutoff: str, report: str = "RealtimeTotals") -> DataFrame:
     """The files (one row each) of the newest complete group whose stamp is not after ``cutoff`` (yyyyMMddHH)."""
     chosen = (complete_groups(done, report).where(F.col("stamp") <= cutoff)
               .agg(F.max_by("file_group", F.struct("stamp", "file_group")).alias("g")).select("g"))
-    files = done.where(F.col("report") == report).select("name").distinct()
-    return (files.withColumn("file_group", names.group_of(F.col("name")))
-            .where(F.col("file_group") == chosen.scalar()).select("file_group", "name"))
+    return grouped_names(done, report).where(F.col("file_group") == chosen.scalar()).select("file_group", "name")
 
 
 def to_json(changes: DataFrame) -> DataFrame:

@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BLOCK = 4096
 
 
-def nth_values(df: DataFrame, group: list[str], value: str, positions: dict[str, Column]) -> DataFrame:
-    """Per group, the values at the 0-based positions of the sorted list; each position is an expression of ``n``."""
+def nth_values(df: DataFrame, group: list[str], value: str, positions: dict[str, Column], block: float = BLOCK) -> DataFrame:
+    """Per group, the values at the 0-based positions of the sorted list; each position is an expression of ``n``.
+
+    ``block`` is the width of a block of values; for fractions, one that holds few different ones.
+    """
     counts = (df.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v"))
               .agg(F.count(F.lit(1)).alias("_c")))
-    blocks = (counts.withColumn("_b", F.floor(F.col("_v") / BLOCK)).groupBy(*group, "_b")
+    blocks = (counts.withColumn("_b", F.floor(F.col("_v") / block)).groupBy(*group, "_b")
               .agg(F.sum("_c").alias("_bc")))
     totals = blocks.groupBy(*group).agg(F.sum("_bc").alias("n"))
     wanted = totals.select(*group, "n", F.explode(F.array(*[
@@ -24,7 +27,7 @@ def nth_values(df: DataFrame, group: list[str], value: str, positions: dict[str,
     up_to = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranged = blocks.withColumn("_to", F.sum("_bc").over(up_to)).withColumn("_from", F.col("_to") - F.col("_bc"))
     found = _matched(wanted, ranged, group).where((F.col("_pos") >= F.col("_from")) & (F.col("_pos") < F.col("_to")))
-    inside = counts.withColumn("_b", F.floor(F.col("_v") / BLOCK))
+    inside = counts.withColumn("_b", F.floor(F.col("_v") / block))
     needed = found.select(*group, "_b", "_from").distinct()
     cells = inside.join(needed, group + ["_b"])
     running = Window.partitionBy(*group, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

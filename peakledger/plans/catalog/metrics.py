@@ -18,13 +18,7 @@ SELECT report, CASE WHEN value_mw IS DISTINCT FROM p THEN 'events_produced' ELSE
 FROM ordered GROUP BY 1, 2""")
 def ingest_counters(spark, sf):
     """Events produced and dropped as unchanged, per report."""
-    feed = in_steps(versioned_events(spark, sf))
-    every = feed.groupBy("report").agg(F.count(F.lit(1)).alias("seen"))
-    fresh = changes.changed_values(feed).groupBy("report").agg(F.count(F.lit(1)).alias("kept"))
-    both = every.join(fresh, "report", "left").na.fill(0, ["kept"])
-    pairs = F.array(F.struct(F.lit("events_produced").alias("outcome"), F.col("kept").alias("count")),
-                    F.struct(F.lit("events_deduplicated").alias("outcome"), (F.col("seen") - F.col("kept")).alias("count")))
-    return both.select("report", F.explode(pairs).alias("x")).select("report", "x.outcome", "x.count").where(F.col("count") > 0)
+    return metrics.outcome_counts(changes.judged_values(in_steps(versioned_events(spark, sf))))
 
 
 @register("latency_percentiles", f"""WITH {EVENTS}, l AS (
@@ -95,18 +89,20 @@ def alert_windows(spark, sf):
 
 
 @register("no_data_gaps", f"""WITH {SAMPLES}
-SELECT service, ts AS silent_from, following AS silent_until, CAST(CAST((epoch_us(following) - epoch_us(ts)) AS DECIMAL(20,0)) / 1000000 AS DOUBLE) AS seconds
-FROM (SELECT service, ts, lead(ts) OVER (PARTITION BY service ORDER BY ts) AS following FROM samples)
+SELECT service, ts AS silent_from, following AS silent_until, CAST(CAST((epoch_us(following) - epoch_us(ts)) AS DECIMAL(20,0)) / 1000000 AS DOUBLE) AS seconds,
+       back IS NULL AS still_silent
+FROM (SELECT *, coalesce(back, TIMESTAMP '2024-02-01') AS following FROM (SELECT service, ts, lead(ts) OVER (PARTITION BY service ORDER BY ts) AS back FROM samples))
 WHERE following > ts + INTERVAL 20 MINUTE""")
 def no_data_gaps(spark, sf):
-    return metrics.silences(metric_samples(spark, sf))
+    """As seen a day after the last samples, when every service is silent."""
+    return metrics.silences(metric_samples(spark, sf), as_of=F.lit("2024-02-01").cast("timestamp_ntz"))
 
 
 @register("health_rollup", f"""WITH {SAMPLES}, ranked AS (
   SELECT service, date_trunc('hour', ts) AS period, value, count(*) OVER (PARTITION BY service, date_trunc('hour', ts)) AS n,
          row_number() OVER (PARTITION BY service, date_trunc('hour', ts) ORDER BY value) - 1 AS i FROM samples)
-SELECT service, period, count(*) AS samples, max(value) AS highest, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total,
-       max(CASE WHEN i = floor(n * 0.95::DOUBLE) THEN round_even(value * 100, 0) / 100 END) AS p95, count(*) / 3600.0::DOUBLE AS per_second
+SELECT service, period, count(*) AS samples, max(value) AS highest, CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) AS total,
+       max(CASE WHEN i = floor(n * 0.95::DOUBLE) THEN value END) AS p95, count(*) / 3600.0::DOUBLE AS per_second
 FROM ranked GROUP BY 1, 2""")
 def health_rollup(spark, sf):
     return metrics.health_rollup(metric_samples(spark, sf))

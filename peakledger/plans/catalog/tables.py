@@ -35,7 +35,7 @@ def merge_current(spark, sf):
     return merge.latest_versions(versioned_events(spark, sf)).select(*COLUMNS)
 
 
-@register("merge_two_batches", f"""WITH {EVENTS},
+MERGED = f"""{EVENTS},
 one AS (SELECT * FROM feed WHERE ingested_at < TIMESTAMP '1998-01-01'),
 two AS (SELECT * FROM feed WHERE ingested_at >= TIMESTAMP '1998-01-01'),
 raw1 AS (SELECT * FROM one QUALIFY row_number() OVER ({RAW_RANK}) = 1),
@@ -48,7 +48,10 @@ win2 AS (SELECT * FROM two QUALIFY row_number() OVER ({CURRENT_RANK}) = 1),
 beat AS (SELECT w.* FROM win2 w LEFT JOIN cur1 c USING (report, interval_start, zone)
   WHERE c.version IS NULL OR w.version > c.version OR (w.version = c.version AND w.ingested_at > c.ingested_at)),
 cur2 AS (SELECT * FROM beat UNION ALL
-  SELECT c.* FROM cur1 c ANTI JOIN beat b USING (report, interval_start, zone))
+  SELECT c.* FROM cur1 c ANTI JOIN beat b USING (report, interval_start, zone))"""
+
+
+@register("merge_two_batches", f"""WITH {MERGED}
 SELECT 'raw' AS table_name, report, interval_start, zone, version, value_mw, ingested_at, source_uri FROM raw2
 UNION ALL SELECT 'current', report, interval_start, zone, version, value_mw, ingested_at, source_uri FROM cur2""")
 def merge_two_batches(spark, sf):
@@ -130,22 +133,29 @@ def table_checksum(spark, sf):
     return raw.unionByName(current)
 
 
-@register("replay_equivalence", f"""WITH {EVENTS}
-SELECT 'raw_demand_versions' AS table_name, count(*) AS n_rows, 0::BIGINT AS differing
-FROM (SELECT * FROM feed QUALIFY row_number() OVER ({RAW_RANK}) = 1)
-UNION ALL SELECT 'current_demand', count(*), 0 FROM (SELECT * FROM feed QUALIFY row_number() OVER ({CURRENT_RANK}) = 1)""")
+def _compared_sql(name, built, rebuilt):
+    return f"""SELECT '{name}' AS table_name, (SELECT count(*) FROM {rebuilt}) AS n_rows, count(*) AS differing FROM (
+  SELECT {NAMES} FROM (SELECT {NAMES}, 1 AS s FROM {built} UNION ALL SELECT {NAMES}, -1 FROM {rebuilt}) GROUP BY ALL HAVING sum(s) <> 0)"""
+
+
+@register("replay_equivalence", f"""WITH {MERGED},
+short AS (SELECT * FROM feed WHERE NOT (reason = 'reconciliation' AND version = 7)),
+raw_all AS (SELECT * FROM feed QUALIFY row_number() OVER ({RAW_RANK}) = 1), cur_all AS (SELECT * FROM feed QUALIFY row_number() OVER ({CURRENT_RANK}) = 1),
+raw_short AS (SELECT * FROM short QUALIFY row_number() OVER ({RAW_RANK}) = 1), cur_short AS (SELECT * FROM short QUALIFY row_number() OVER ({CURRENT_RANK}) = 1)
+{_compared_sql('raw_demand_versions', 'raw2', 'raw_all')} UNION ALL {_compared_sql('current_demand', 'cur2', 'cur_all')}
+UNION ALL {_compared_sql('raw_demand_versions, events lost', 'raw2', 'raw_short')}
+UNION ALL {_compared_sql('current_demand, events lost', 'cur2', 'cur_short')}""")
 def replay_equivalence(spark, sf):
-    """Tables built in two batches by arrival, and rebuilt from zero in one, hold the same rows."""
+    """Tables built in two batches by arrival, against the same rebuilt from zero in one: of all events, and of a topic that lost
+    the seventh versions of the reconciliation."""
     feed = versioned_events(spark, sf)
     one, two = two_batches(feed)
-    pairs = {"raw_demand_versions": (merge.merge_raw(merge.first_versions(one), two), merge.first_versions(feed)),
-             "current_demand": (merge.merge_current(merge.latest_versions(one), two), merge.latest_versions(feed))}
-    parts = []
-    for name, (built, rebuilt) in pairs.items():
-        differing = merge.difference(built, rebuilt, COLUMNS).agg(F.count(F.lit(1)).alias("d")).select("d")
-        parts.append(rebuilt.agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "n_rows", differing.scalar().alias("differing")))
-    return parts[0].unionByName(parts[1])
+    built = {"raw_demand_versions": (merge.first_versions, merge.merge_raw(merge.first_versions(one), two)),
+             "current_demand": (merge.latest_versions, merge.merge_current(merge.latest_versions(one), two))}
+    topics = {"": feed, ", events lost": feed.where(~((F.col("reason") == "reconciliation") & (F.col("version") == 7)))}
+    parts = [merge.compare(table, rebuild(topic), COLUMNS).select(F.lit(name + note).alias("table_name"), "n_rows", "differing")
+             for note, topic in topics.items() for name, (rebuild, table) in built.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
 @register("event_routing", f"""WITH {EVENTS}
