@@ -81,6 +81,26 @@ def test_silences_equal_a_plain_scan(spark, seed):
     assert got == [(a[2], b[2]) for a, b in zip(rows, rows[1:]) if b[2] - a[2] > timedelta(minutes=20)]
 
 
+def test_a_silence_that_goes_on_is_reported(spark):
+    rows = spark.createDataFrame([("a", 0, T, 1.0), ("b", 0, T + timedelta(minutes=50), 1.0)], SAMPLE)
+    got = metrics.silences(rows, as_of=F.lit(str(T + timedelta(minutes=60))).cast("timestamp_ntz")).collect()
+    assert [(r["service"], r["seconds"], r["still_silent"]) for r in got] == [("a", 3600.0, True)]
+    assert metrics.silences(rows).isEmpty()
+
+
+def test_hourly_values_are_held_against_the_mean(spark):
+    kind = "report string, interval_start timestamp_ntz, value_mw double"
+    fine = [("R", T + timedelta(minutes=5 * i), 100.0 + i) for i in range(24)]         # means 105.5 and 117.5, both to the even number
+    hourly = [("R", T, 106.0), ("R", T + timedelta(hours=1), 117.0), ("R", T + timedelta(hours=2), 1.0)]
+    r = completeness.hourly_against_fine(spark.createDataFrame(hourly, kind), spark.createDataFrame(fine, kind)).first()
+    assert (r["hours"], r["apart"], r["most_slots"], r["highest_mean"]) == (2, 1, 12, 118.0)
+
+
+def test_percentile_of_fractions(spark):
+    rows = spark.createDataFrame([("s", 0, T + timedelta(seconds=i), 1 + i / 1000) for i in range(100)], SAMPLE)
+    assert metrics.health_rollup(rows).first()["p95"] == 1.095
+
+
 def test_latency_counts_live_events_only(spark):
     rows = [("R", "live", T, T + timedelta(seconds=s)) for s in (10, 20, 30, 40)] + [("R", "backfill", T, T + timedelta(days=9))]
     frame = spark.createDataFrame(rows, "report string, reason string, published_at timestamp_ntz, ingested_at timestamp_ntz")

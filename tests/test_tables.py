@@ -116,6 +116,16 @@ def test_checksum_ignores_order_and_sees_any_change(spark):
     assert merge.difference(good.unionByName(good.limit(1)), good, ["report", "interval_start", "value_mw"]).count() == 1
 
 
+def test_compare_counts_what_differs(spark):
+    good, columns = clean(spark), ["report", "interval_start", "zone", "version", "value_mw"]
+    n = good.count()
+    assert tuple(merge.compare(good, good.repartition(3), columns).first()) == (n, 0)
+    assert tuple(merge.compare(good, good.where("report <> 'ICIDemand'"), columns).first())[1] == good.where("report = 'ICIDemand'").count()
+    changed = good.withColumn("value_mw", F.when(F.col("report") == "ICIDemand", F.lit(None)).otherwise(F.col("value_mw")))
+    assert tuple(merge.compare(good, changed, columns).first()) == (n, 2 * good.where("report = 'ICIDemand'").count())
+    assert tuple(merge.compare(good, good.limit(0), columns).first()) == (0, n)
+
+
 def test_landed_counts_versions_at_least_as_new(spark):
     current = frame(spark, [row(version=1), row(start=T + timedelta(minutes=5), version=3)])
     ask = lambda *rows: reconcile.landed(frame(spark, list(rows)), current).first()["events_landed"]
