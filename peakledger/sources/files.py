@@ -43,19 +43,28 @@ def list_files(spark: SparkSession, root: str, manifest: DataFrame | None = None
         "published_at", F.coalesce("_saved", "published_at")).drop("_saved")
 
 
+def place_of(uri: str) -> tuple[str, str]:
+    """(store, path in it). file:/a and file:///a name the same file; s3a and s3n are Hadoop's names for s3; an empty authority
+    is the default store of its scheme."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return "file:///", "/" + rest.lstrip("/")
+    authority, _, path = rest.removeprefix("//").partition("/")
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{authority}", path
+
+
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyarrow import fs
-    systems: dict = {}
+    stores: dict = {}  # one handle per store: two name nodes or buckets have one each
     for batch in batches:
         bodies = []
         for uri in batch.column("uri").to_pylist():
-            scheme = uri.split(":", 1)[0]
-            # file:/a and file:///a name the same file; other schemes pass through
-            plain = "/" + uri.split(":", 1)[1].lstrip("/") if scheme == "file" else uri
-            if scheme not in systems:
-                systems[scheme] = fs.LocalFileSystem() if scheme == "file" else fs.FileSystem.from_uri(uri)[0]
-            path = plain if scheme == "file" else plain.split("://", 1)[1]
-            with systems[scheme].open_input_stream(path) as stream:
+            store, path = place_of(uri)
+            if store not in stores:
+                stores[store] = (fs.LocalFileSystem(), "") if store == "file:///" else fs.FileSystem.from_uri(f"{store}/")
+            system, base = stores[store]
+            path = path if store == "file:///" else f"{base.rstrip('/')}/{path}"
+            with system.open_input_stream(path) as stream:
                 bodies.append(stream.read())
             # one file at a time: an Arrow batch of large files need not fit in memory at once
             yield pa.RecordBatch.from_arrays(

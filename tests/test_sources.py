@@ -2,6 +2,7 @@ import hashlib
 import json
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from peakledger.functions import contract, events, names
@@ -151,3 +152,10 @@ def test_contract(spark):
     assert got == cases
     rows = contract.decode(frame).collect()
     assert len(rows) == 4 and rows[0]["interval_start"] == datetime(2026, 9, 28, 12) and {r["version"] for r in rows} == {12}
+
+
+@pytest.mark.parametrize(("uri", "store", "path"), [
+    ("file:/a/b c", "file:///", "/a/b c"), ("file:///a/b", "file:///", "/a/b"), ("s3a://bucket/d/f.xml", "s3://bucket", "d/f.xml"),
+    ("s3://bucket/f", "s3://bucket", "f"), ("hdfs://one:8020/d/f", "hdfs://one:8020", "d/f"), ("hdfs:///d/f", "hdfs://", "d/f")])
+def test_a_file_is_looked_for_in_its_own_store(uri, store, path):
+    assert files.place_of(uri) == (store, path)
