@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..functions.shipping import by_value
-from .common import ROWS_AT_ONCE, utf8
+from .common import ROWS_AT_ONCE, stored, utf8
 
 WINDOW = 10
 #: Benchmark windows that one scan may hold (about 150 bytes each); more are scanned in several slices, one after the other.
@@ -90,8 +90,8 @@ class Windows:
         return spans, items
 
 
-def _scan(docs: DataFrame, items: list[tuple[str, bytes]], size: int) -> DataFrame:
-    """Adds one slice's hits to spans (flat list of begin, end) and items."""
+def _scan(docs: DataFrame, items: list[tuple[str, bytes]], size: int, cutting: bool) -> DataFrame:
+    """Adds one slice's hits to spans (flat list of begin, end) and items; cutting: writes texts with hits without them to cut."""
     target: list[pa.Schema] = [to_arrow_schema(docs.schema)]
     shipped = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -100,35 +100,44 @@ def _scan(docs: DataFrame, items: list[tuple[str, bytes]], size: int) -> DataFra
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(at, ROWS_AT_ONCE)
-                counts, spans, owners = [], [], []
+                counts, spans, owners, cut = [], [], [], []
                 for raw, s, i in zip(batch.column("raw"), batch.column("spans").to_pylist(), batch.column("items").to_pylist()):
                     found = words_of(raw.as_py())
                     more, their = known.hits(found)
                     counts.append(len(found))
                     spans.append(s + [x for span in more for x in span])
                     owners.append(sorted({*i, *their}))
-                new = {"n_words": counts, "spans": spans, "items": owners}
+                    cut.append(without(raw.as_py(), spans[-1]).decode("utf-8", "replace") if cutting and spans[-1] else None)
+                new = {"n_words": counts, "spans": spans, "items": owners, "cut": cut}
                 yield pa.RecordBatch.from_arrays([pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name).cast(f.type) for f in target[0]], schema=target[0])
 
     return docs.mapInArrow(run, docs.schema)
 
 
 def scanned(docs: DataFrame, benchmark: DataFrame, keep: list[Column], text: str = "text", item_id: str = "item_id", item_text: str = "text",
-            size: int = WINDOW, at_once: int = WINDOWS_AT_ONCE) -> DataFrame:
+            size: int = WINDOW, at_once: int = WINDOWS_AT_ONCE, cutting: bool = False) -> DataFrame:
     """keep's columns, raw (text as bytes), n_words, spans (flat list of word places begin, end, ...) and items (sorted ids as strings).
 
+    cutting adds cut: the text without its spans, null where there are none. It is made in the scan itself, as a second Python
+    function in a task would keep a second worker alive.
+
     A benchmark of any size can be used: its items are dealt into slices of bounded size, and documents pass through one scan a
-    slice. Null texts have no words. An item without words has no window; items with a null id count under "null".
+    slice. Each scan but the last is stored, so that a worker never waits with its slice for the next one. Null texts have no words.
+    An item without words has no window; items with a null id count under "null".
     """
     wide = docs.select(*keep, utf8(text).alias("raw"), F.lit(0).cast("long").alias("n_words"),
-                       F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
+                       F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"),
+                       *([F.lit(None).cast("string").alias("cut")] if cutting else []))
     tests = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), utf8(item_text).alias("raw"))
     # An upper bound on the words, hence on the windows, without moving any text.
     weight = tests.agg(F.sum(F.floor((F.octet_length("raw") + 1) / 2)).alias("w")).first()["w"] or 0
     slices = max(1, -(-weight // at_once))
     for k in range(slices):
         part = tests.where(F.pmod(F.xxhash64("item", "raw"), F.lit(slices)) == k)
-        wide = _scan(wide, [(r["item"], bytes(r["raw"])) for r in part.collect()], size)
+        last = k == slices - 1
+        wide = _scan(wide, [(r["item"], bytes(r["raw"])) for r in part.collect()], size, cutting and last)
+        if not last:
+            wide = stored(wide, "scan")
     return wide
 
 
@@ -174,18 +183,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, max_share: float = MAX_HIT_SHAR
     Documents without a hit come back as they were, null and empty texts included; n_chars follows a changed text.
     """
     names = docs.columns
-    hits = scanned(docs, benchmark, [F.struct(*names).alias("row")], **options).withColumn("n_hit", hit_words())
+    hits = scanned(docs, benchmark, [F.struct(*names).alias("row")], cutting=True, **options).withColumn("n_hit", hit_words())
     left = F.col("n_words") - F.col("n_hit")
     stay = hits.where((F.size("spans") == 0) | ((F.col("n_hit") <= max_share * F.col("n_words")) & (left >= min_left)))
-
-    @F.pandas_udf("string")
-    def taken_out(raw, spans):
-        return raw.combine(spans, lambda t, s: without(bytes(t), list(s)).decode("utf-8", "replace") if len(s) else None)
-
-    new = F.when(F.size("spans") > 0, F.coalesce("cut", F.lit(""))).otherwise(F.col("row.text"))
-    # Only texts with hits go through the second function.
-    changed = stay.withColumn("cut", taken_out(F.when(F.size("spans") > 0, F.col("raw")).otherwise(F.lit(b"")), F.col("spans"))).withColumn("new_text", new)
-    return changed.select(*[
+    return stay.withColumn("new_text", F.coalesce("cut", F.col("row.text"))).select(*[
         F.col("new_text").alias(n) if n == "text" else F.when(F.size("spans") > 0, F.length("new_text")).otherwise(F.col("row.n_chars")).cast(docs.schema[n].dataType).alias(n)
         if n == "n_chars" else F.col(f"row.{n}").alias(n) for n in names])
 
