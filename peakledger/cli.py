@@ -73,10 +73,6 @@ def reset(spark, a):
     Warehouse(spark, a.house).truncate()
 
 
-def compact(spark, a):
-    Warehouse(spark, a.house).compact()
-
-
 def reconcile(spark, a):
     house, end = Warehouse(spark, a.house), datetime.fromisoformat(a.end)
     out = reconciliation.run(spark, files.list_files(spark, a.files), house, a.topics, datetime.fromisoformat(a.start), end, utc_now(),
@@ -128,7 +124,7 @@ def loadtest(spark, a):
 COMMANDS = {
     "produce": (produce, ["files", "house", "topics"]), "consume": (consume, ["topics", "house", "checkpoint", "quarantine"]),
     "check": (check, ["house"]), "summary": (summary, ["house"]), "runs": (runs, ["house"]), "signals": (signals, ["house"]),
-    "reset": (reset, ["house"]), "compact": (compact, ["house"]), "seed": (seed, ["files", "house", "cutoff"]),
+    "reset": (reset, ["house"]), "seed": (seed, ["files", "house", "cutoff"]),
     "reconcile": (reconcile, ["files", "house", "topics", "checkpoint", "quarantine", "start", "end"]), "archive": (archive, ["files", "archive"]),
     "backtest": (run_backtest, ["files", "results"]), "replay": (run_replay, ["files", "results", "day"]),
     "evaluate": (evaluate, ["topics", "house", "results", "checkpoint", "out"]), "loadtest": (loadtest, ["samples"]),

@@ -30,7 +30,7 @@ class Consumer:
             (bad.select("key", "value", "topic", "violations").write.mode("overwrite")
              .parquet(f"{self.quarantine}/source={self.name}/run={self.attempt}/batch={batch_id}"))
             good = contract.decode(checked)
-            self.warehouse.write_batch(good, self.name, batch_id)
+            self.warehouse.write_batch(good)
             if self.metrics:
                 self._measure(checked, good, batch_id, time.monotonic() - begun)
         finally:

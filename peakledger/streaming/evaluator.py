@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta, timezone
+import hashlib
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,31 +11,26 @@ from peakledger.functions import contract
 from peakledger.functions.events import TOPIC
 from peakledger.operators import live, merge
 from peakledger.streaming import topics
-from peakledger.streaming.warehouse import Warehouse
+from peakledger.streaming.warehouse import Warehouse, utc_now
 
 REPORT = "ICIDemand"
 MARKET = timedelta(hours=5)  # fixed value: market time is five hours behind UTC
 
 
-def utc_now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
-
-
 class Evaluator:
     """Adds readings to the history (versions resolved), and writes decisions for hours that arrived live and lately.
 
     The history is a demand table of its own, so a replay rebuilds it and announces nothing again.
     """
 
-    def __init__(self, history: Warehouse, params: DataFrame, topic_root: str, name: str = "signals", now=utc_now):
-        self.history, self.params, self.topic_root, self.name, self.now = history, params, topic_root, name, now
+    def __init__(self, history: Warehouse, params: DataFrame, topic_root: str, name: str = "signals", now=utc_now, attempt: str = "first"):
+        self.history, self.params, self.topic_root, self.name, self.now, self.attempt = history, params, topic_root, name, now, attempt
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         events = contract.decode(topics.judged(batch)).where(F.col("report") == REPORT).persist()
         try:
-            self.history.write_batch(events, f"{self.name}-history", batch_id)
-            if not self.history.has(self.name, batch_id):
-                self._evaluate(events, batch_id)
+            self.history.write_batch(events)
+            self._evaluate(events, batch_id)
         finally:
             events.unpersist()
 
@@ -52,17 +48,22 @@ class Evaluator:
         zones = recent.select("zone").distinct()
         points = (stored.join(zones, "zone", "left_semi").where(F.col("report") == REPORT)
                   .select("zone", "interval_start", F.col("value_mw").alias("mw")))
-        rows = live.evaluate(recent.select("zone", "interval_start"), points, self.params, now).persist()
+        # Only decisions the table does not hold are announced, so neither a second try nor a replay announces one again.
+        decided = live.evaluate(recent.select("zone", "interval_start"), points, self.params, now).persist()
+        rows = self.history.unannounced(decided).persist()
         try:
-            topics.send(topics.signal_messages(rows), f"{self.topic_root}/{self.name}", batch=str(batch_id))
-            self.history.write_signals(rows, self.name, batch_id)
+            if not rows.isEmpty():
+                topics.send(topics.signal_messages(rows), f"{self.topic_root}/{self.name}", batch=f"{self.attempt}-{batch_id}")
+                self.history.write_signals(rows)
         finally:
             rows.unpersist()
+            decided.unpersist()
 
 
 def run(spark: SparkSession, topic_root: str, history: Warehouse, params: DataFrame, checkpoint: str, signal_root: str,
         name: str = "signals", now=utc_now, always: bool = False, files_per_batch: int | None = None, kafka: dict | None = None):
+    attempt = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]  # another checkpoint's messages stay
     source = topics.stream(spark, topic_root, [TOPIC[REPORT]], files_per_batch, kafka)
     trigger = {"processingTime": "10 seconds"} if always else {"availableNow": True}
-    return (source.writeStream.queryName(name).foreachBatch(Evaluator(history, params, signal_root, name, now))
+    return (source.writeStream.queryName(name).foreachBatch(Evaluator(history, params, signal_root, name, now, attempt))
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())

@@ -1,9 +1,9 @@
-"""The tables the jobs write: parquet partitioned by market-independent day, one folder per commit.
+"""The tables the jobs write: plain Parquet, appended to and partitioned by the UTC day of the reading.
 
-Parquet alone has no MERGE, so a write appends the rows the merge functions return and then records the commit. Readers take
-recorded commits only: a job that dies half-way leaves a folder nobody reads, and the next attempt overwrites it. Days can be
-rewritten in place (compaction, delete, truncate): such a commit hides what earlier commits hold for its days.
-One writer at a time. With a lakehouse catalog its own MERGE would take this module's place.
+Nothing is ever changed in place. Every row carries the instant of its write, and readers resolve what they find: the first of a
+raw key, the newest version of an interval, the last row of a run. Deletes are rows too, which hide what was written before them.
+So a write that is tried again, whole or in part, changes nothing. Progress is kept by the streams' own checkpoints.
+One writer a table at a time, as Spark's appends ask. With a lakehouse catalog its own MERGE would take this module's place.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from peakledger.functions.events import CURRENT_KEY, RUN_SCHEMA, SIGNAL_SCHEMA,
 from peakledger.operators import merge
 
 RAW, CURRENT, SIGNALS, RUNS = "raw_demand_versions", "current_demand", "signals", "reconciliation_runs"
-STATE, DONE, HANDLED = "producer_state", "done_files", "handled_files"
+STATE, DONE, HANDLED, REMOVED = "producer_state", "done_files", "handled_files", "removed_rows"
 
 # table -> (schema, column the day partition is taken from)
 TABLES = {
@@ -27,73 +27,53 @@ TABLES = {
     STATE: ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double", "interval_start"),
     DONE: ("report string, name string, published_at timestamp_ntz", "published_at"),
     HANDLED: ("report string, name string, published_at timestamp_ntz", "published_at"),
+    REMOVED: ("table_name string, report string, name string, interval_start timestamp_ntz", "interval_start"),
 }
-COMMIT = "seq bigint, table_name string, kind string, first_day date, last_day date, source string, batch_id bigint"
+# What a row of REMOVED names, by table.
+REMOVABLE = {RAW: ["report", "interval_start"], CURRENT: ["report", "interval_start"], STATE: ["report", "interval_start"], DONE: ["report", "name"]}
 FIRST, LAST = date(1000, 1, 1), date(9999, 12, 31)
 
 
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        if not self._exists(f"{self.root}/commits"):
-            spark.createDataFrame([], COMMIT).write.mode("append").json(f"{self.root}/commits")
 
     def _exists(self, path: str) -> bool:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
 
-    # ---- commits ----
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT).json(f"{self.root}/commits")
-
-    def has(self, source: str, batch_id: int) -> bool:
-        mine = (F.col("source") == source) & (F.col("batch_id") == batch_id)
-        return not self.commits().where(mine).isEmpty()
-
-    def _commit(self, parts: dict, source: str = "", batch_id: int = -1) -> None:
-        """``parts``: table -> (rows, kind, first day, last day). All parts become visible together, by one small file."""
-        seq = (self.commits().agg(F.max("seq")).first()[0] or 0) + 1
-        entries = []
-        for table, (rows, kind, first, last) in parts.items():
-            schema, moment = TABLES[table]
-            names = [f.name for f in self.spark.createDataFrame([], schema).schema]
-            dated = rows.select(*names, F.col(moment).cast("date").alias("day"))
-            # Few files per day: rows are brought together by day, and a day that holds much is split again at run time.
-            # Sorted by report and zone within, so that row groups can be skipped.
-            clustered = dated.hint("rebalance", "day").sortWithinPartitions("day", *[c for c in ("report", "zone") if c in names])
-            (clustered.write.mode("overwrite").partitionBy("day").option("compression", "zstd")
-             .parquet(f"{self.root}/{table}/commit={seq}"))
-            entries.append((seq, table, kind, first, last, source, batch_id))
-        self.spark.createDataFrame(entries, COMMIT).coalesce(1).write.mode("append").json(f"{self.root}/commits")
-
     # ---- reading ----
 
-    def rows(self, table: str, first: date = FIRST, last: date = LAST, numbered: bool = False) -> DataFrame:
-        """All visible rows of the days, as appended; ``numbered`` keeps the commit number.
+    def _stored(self, table: str) -> DataFrame:
+        schema = f"{TABLES[table][0]}, written_at timestamp_ntz, day date"
+        path = f"{self.root}/{table}"
+        return self.spark.read.schema(schema).parquet(path) if self._exists(path) else self.spark.createDataFrame([], schema)
 
-        The list of live commits is small: compaction shortens it.
+    def rows(self, table: str, first: date = FIRST, last: date = LAST, days: list[date] | None = None, written: bool = False) -> DataFrame:
+        """All rows of the days that no later removal hides, as appended; ``written`` keeps the instant of the write.
+
+        The conditions on days are on the partition column: other days are not read.
         """
-        schema, _ = TABLES[table]
-        entries = [r for r in self.commits().where(F.col("table_name") == table).collect()]
-        rewrites = [r for r in entries if r["kind"] == "rewrite"]
-        floor = max([r["seq"] for r in rewrites if r["first_day"] <= FIRST and r["last_day"] >= LAST], default=0)
-        live = sorted({r["seq"] for r in entries if r["seq"] >= floor})
-        if not live:
-            return self.spark.createDataFrame([], f"{schema}, commit bigint" if numbered else schema)
-        found = (self.spark.read.schema(f"{schema}, commit bigint, day date").option("basePath", f"{self.root}/{table}")
-                 .parquet(*[f"{self.root}/{table}/commit={seq}" for seq in live])
-                 .where(F.col("day").between(F.lit(first), F.lit(last))))
-        for r in rewrites:  # conditions on partition columns: hidden days are pruned, not read
-            hidden = (F.col("commit") < r["seq"]) & F.col("day").between(F.lit(r["first_day"]), F.lit(r["last_day"]))
-            found = found.where(~hidden)
-        return found.drop("day") if numbered else found.drop("commit", "day")
+        found = self._stored(table).where(F.col("day").between(F.lit(first), F.lit(last)))
+        if days is not None:
+            found = found.where(F.col("day").isin(days))
+        if table in REMOVABLE and self._exists(f"{self.root}/{REMOVED}"):
+            keys = REMOVABLE[table]
+            gone = self._stored(REMOVED).where(F.col("table_name") == table).groupBy(*keys).agg(F.max("written_at").alias("gone_at"))
+            found = found.join(gone, keys, "left").where(F.col("gone_at").isNull() | (F.col("written_at") > F.col("gone_at"))).drop("gone_at")
+        names = self.spark.createDataFrame([], TABLES[table][0]).columns
+        return found.select(*names, *(["written_at"] if written else []))
 
     def raw(self, first: date = FIRST, last: date = LAST) -> DataFrame:
-        return self.rows(RAW, first, last)
+        """One row per interval and version: writes leave out what is there, and of what a broken write left twice one counts."""
+        return merge.first_versions(self.rows(RAW, first, last))
 
     def current(self, first: date = FIRST, last: date = LAST) -> DataFrame:
-        """One row per interval: every later commit holds only rows that beat the earlier ones."""
+        """One row per interval: a write adds only rows that beat the earlier ones."""
         return merge.latest_versions(self.rows(CURRENT, first, last))
 
     def signals(self) -> DataFrame:
@@ -101,69 +81,76 @@ class Warehouse:
 
     def runs(self) -> DataFrame:
         """One row per run_key, the one written last."""
-        return merge.best(self.rows(RUNS, numbered=True), ["run_key"], ["-commit"]).drop("commit")
+        return merge.best(self.rows(RUNS, written=True), ["run_key"], ["-written_at"]).drop("written_at")
 
     def state(self, first: date = FIRST, last: date = LAST) -> DataFrame:
-        """The producer's last (version, value) per interval: that of the latest commit."""
-        return merge.best(self.rows(STATE, first, last, numbered=True), CURRENT_KEY, ["-commit"]).drop("commit")
+        """The producer's last (version, value) per interval."""
+        return merge.best(self.rows(STATE, first, last, written=True), CURRENT_KEY, ["-written_at"]).drop("written_at")
 
     # ---- writing ----
 
-    def write_batch(self, batch: DataFrame, source: str = "", batch_id: int = -1) -> bool:
+    def append(self, parts: dict[str, DataFrame]) -> None:
+        """``parts``: table -> rows, written one after the other under one instant."""
+        now = F.lit(utc_now()).cast("timestamp_ntz")
+        for table, rows in parts.items():
+            schema, moment = TABLES[table]
+            names = self.spark.createDataFrame([], schema).columns
+            dated = rows.select(*names, now.alias("written_at"), F.col(moment).cast("date").alias("day"))
+            # Few files per day: rows are brought together by day, and a day that holds much is split again at run time.
+            # Sorted by report and zone within, so that row groups can be skipped.
+            clustered = dated.hint("rebalance", "day").sortWithinPartitions("day", *[c for c in ("report", "zone") if c in names])
+            clustered.write.mode("append").partitionBy("day").option("compression", "zstd").parquet(f"{self.root}/{table}")
+
+    def write_batch(self, batch: DataFrame) -> bool:
         """Merge a batch of events into both demand tables. False if there was nothing to do.
 
-        A batch that comes again changes nothing, whatever its number: the merges add only rows that are missing or newer. Numbers
-        are no proof that a batch is in, as a replay and another checkpoint count from zero too. Only the days between the batch's
-        first and last interval are read from the stored tables. An event without a full key is refused, as no day would show it.
+        A batch that comes again changes nothing: the merges add only rows that are missing or newer. Of the stored tables only the
+        batch's own days are read, and of those only the batch's keys are ranked. An event without a full key is refused, as no
+        day would show it.
         """
         if not batch.where(" OR ".join(f"{c} IS NULL" for c in (*CURRENT_KEY, "version"))).isEmpty():
             raise ValueError("an event without report, interval, zone or version")
-        now = datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
-        loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(now).cast("timestamp_ntz"))
-        lo, hi = merge.day_bounds(loaded)
-        if lo is None:
+        loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(utc_now().replace(microsecond=0)).cast("timestamp_ntz"))
+        days = [r["day"] for r in loaded.select(F.col("interval_start").cast("date").alias("day")).distinct().collect()]  # the calendar bounds it
+        if not days:
             return False
-        first, last = lo.date(), hi.date()
-        self._commit({RAW: (merge.new_raw_rows(self.raw(first, last), loaded), "append", first, last),
-                      CURRENT: (merge.new_current_rows(self.current(first, last), loaded), "append", first, last)}, source, batch_id)
+        keys = loaded.select(*CURRENT_KEY).distinct()
+        held = merge.latest_versions(self.rows(CURRENT, days=days).join(keys, CURRENT_KEY, "left_semi"))
+        # Raw first: a write that ends between the two is completed by the next try.
+        self.append({RAW: merge.new_raw_rows(self.rows(RAW, days=days), loaded)})
+        self.append({CURRENT: merge.new_current_rows(held, loaded)})
         return True
 
-    def write_signals(self, rows: DataFrame, source: str = "", batch_id: int = -1) -> bool:
+    def unannounced(self, rows: DataFrame) -> DataFrame:
+        """Decisions that the table of signals does not hold yet, each once."""
+        days = [r["day"] for r in rows.select(F.col("candidate_hour").cast("date").alias("day")).distinct().collect()]
+        return merge.new_signals(self.rows(SIGNALS, days=days), rows)
+
+    def write_signals(self, rows: DataFrame) -> None:
         """Insert decisions that are not in the table yet."""
-        span = rows.agg(F.min("candidate_hour"), F.max("candidate_hour")).first()
-        if span[0] is None:
-            return False
-        first, last = span[0].date(), span[1].date()
-        self._commit({SIGNALS: (merge.new_signals(self.rows(SIGNALS, first, last), rows), "append", first, last)}, source, batch_id)
-        return True
+        self.append({SIGNALS: self.unannounced(rows)})
 
     def record_run(self, row: DataFrame) -> None:
         """Add a run's row; a rerun's row takes the place of the earlier one."""
-        self._commit({RUNS: (row, "append", FIRST, LAST)})
-
-    def append(self, parts: dict[str, DataFrame], source: str = "", batch_id: int = -1) -> None:
-        self._commit({t: (rows, "append", FIRST, LAST) for t, rows in parts.items()}, source, batch_id)
+        self.append({RUNS: row})
 
-    def compact(self, first: date = FIRST, last: date = LAST) -> None:
-        """Rewrite the days of the demand tables as one commit."""
-        self._commit({RAW: (self.raw(first, last), "rewrite", first, last), CURRENT: (self.current(first, last), "rewrite", first, last)})
+    def _remove(self, tables: list[str], report: str, rows: DataFrame) -> None:
+        """``rows``: name or interval_start. What the tables hold of them now is hidden from here on."""
+        named = rows.withColumns({c: F.lit(None).cast(t) for c, t in (("name", "string"), ("interval_start", "timestamp_ntz")) if c not in rows.columns})
+        each = named.withColumns({"report": F.lit(report), "table_name": F.explode(F.array(*[F.lit(t) for t in tables]))})
+        self.append({REMOVED: each})
 
     def delete_intervals(self, report: str, starts: DataFrame) -> None:
-        """Remove a report's rows at the given starts; only the days concerned are rewritten."""
-        span = starts.agg(F.min("interval_start"), F.max("interval_start")).first()
-        if span[0] is None:
-            return
-        first, last = span[0].date(), span[1].date()
-        self._commit({t: (merge.delete_intervals(read(first, last), report, starts), "rewrite", first, last)
-                      for t, read in ((RAW, self.raw), (CURRENT, self.current))})
+        """Remove a report's rows at the given starts from both demand tables."""
+        self._remove([RAW, CURRENT], report, starts.select("interval_start").distinct())
 
     def forget(self, report: str, files: DataFrame, starts: DataFrame) -> None:
         """Make the producer forget files (report, name) and intervals, so that it would send them again."""
-        names = files.select(F.lit(report).alias("report"), "name")
-        self._commit({DONE: (self.rows(DONE).join(names, ["report", "name"], "left_anti"), "rewrite", FIRST, LAST),
-                      STATE: (merge.delete_intervals(self.state(), report, starts), "rewrite", FIRST, LAST)})
+        self._remove([DONE], report, files.select("name").distinct())
+        self._remove([STATE], report, starts.select("interval_start").distinct())
 
     def truncate(self) -> None:
         """Empty both demand tables, for a clean replay."""
-        nothing = self.spark.createDataFrame([], TABLE_SCHEMA)
-        self._commit({t: (nothing, "rewrite", FIRST, LAST) for t in (RAW, CURRENT)})
+        for table in (RAW, CURRENT):
+            schema = f"{TABLES[table][0]}, written_at timestamp_ntz, day date"
+            self.spark.createDataFrame([], schema).write.mode("overwrite").partitionBy("day").parquet(f"{self.root}/{table}")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from peakledger.functions.events import TABLE_SCHEMA
 from peakledger.operators import merge, quality, reconcile
-from peakledger.streaming.warehouse import Warehouse
+from peakledger.streaming.warehouse import CURRENT, RAW, Warehouse
 
 T = datetime(2026, 9, 28, 12)
 
@@ -45,44 +45,43 @@ def test_merges(spark, tmp_path, name):
     raw, current = after(spark, *batches)
     assert len(raw) == raw_rows and current == expected
     house = Warehouse(spark, str(tmp_path / "w"))
-    for i, batch in enumerate(batches):
-        house.write_batch(frame(spark, batch), "t", i)
+    for batch in batches:
+        house.write_batch(frame(spark, batch))
     pick = lambda df: sorted((r["interval_start"], r["version"], r["value_mw"]) for r in df.collect())
     assert (pick(house.raw()), pick(house.current())) == (raw, current)
 
 
-def test_the_warehouse_merges_whatever_the_number_and_hides_unfinished_commits(spark, tmp_path):
+def test_a_batch_that_comes_again_changes_nothing(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "w"))
-    assert house.write_batch(frame(spark, [row()]), "s", 1) and house.write_batch(frame(spark, [row()]), "s", 1)
-    assert house.raw().count() == house.current().count() == 1
+    assert house.raw().count() == house.signals().count() == 0
+    assert house.write_batch(frame(spark, [row()])) and house.write_batch(frame(spark, [row()]))
+    assert house.rows(RAW).count() == house.rows(CURRENT).count() == 1
     with pytest.raises(ValueError, match="without"):
-        house.write_batch(frame(spark, [row()]).withColumn("interval_start", F.lit(None).cast("timestamp_ntz")), "s", 2)
-    assert not house.write_batch(frame(spark, []), "s", 2)
-    # a job that died before its commit leaves a folder nobody reads
-    frame(spark, [row(version=9)]).withColumn("day", F.lit(date(2026, 9, 28))).write.partitionBy("day").parquet(
-        f"{house.root}/raw_demand_versions/commit=3")
-    assert [r["version"] for r in house.raw().collect()] == [1]
-    house.write_batch(frame(spark, [row(version=3)]), "s", 3)
-    assert sorted(r["version"] for r in house.raw().collect()) == [1, 3]
+        house.write_batch(frame(spark, [row()]).withColumn("interval_start", F.lit(None).cast("timestamp_ntz")))
+    assert not house.write_batch(frame(spark, []))
+    # a write that ended between the tables, and one that two tries left twice
+    house.append({RAW: frame(spark, [row(version=3), row(version=2)])})
+    house.append({RAW: frame(spark, [row(version=3)])})
+    house.write_batch(frame(spark, [row(version=3), row(version=2)]))
+    assert sorted(r["version"] for r in house.raw().collect()) == [1, 2, 3]
+    assert [r["version"] for r in house.current().collect()] == [3]
 
 
-def test_compact_delete_and_truncate(spark, tmp_path):
+def test_delete_and_truncate(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "w"))
     days = [T + timedelta(days=d) for d in range(3)]
-    house.write_batch(frame(spark, [row(start=d) for d in days]), "s", 1)
-    house.write_batch(frame(spark, [row(start=d, version=2, value=1) for d in days]), "s", 2)
-    before = merge.checksum(house.raw()).first(), merge.checksum(house.current()).first()
-    house.compact(date(2026, 9, 28), date(2026, 9, 29))
-    assert (merge.checksum(house.raw()).first(), merge.checksum(house.current()).first()) == before
+    house.write_batch(frame(spark, [row(start=d) for d in days]))
+    house.write_batch(frame(spark, [row(start=d, version=2, value=1) for d in days]))
+    house.delete_intervals("ICIDemand", spark.createDataFrame([(days[0],)], "interval_start timestamp_ntz"))
     house.delete_intervals("RealtimeTotals", spark.createDataFrame([(days[1],)], "interval_start timestamp_ntz"))
     assert {r["interval_start"] for r in house.raw().collect()} == {days[0], days[2]} == {r["interval_start"] for r in house.current().collect()}
-    house.write_batch(frame(spark, [row(start=days[1], version=5)]), "s", 3)
-    assert house.current().count() == 3
+    house.write_batch(frame(spark, [row(start=days[1], version=1)]))
+    assert {(r["interval_start"], r["version"]) for r in house.current().collect()} == {(days[0], 2), (days[1], 1), (days[2], 2)}
     plan = house.raw(date(2026, 9, 28), date(2026, 9, 28))._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan
     house.truncate()
     assert house.raw().count() == house.current().count() == 0
-    house.write_batch(frame(spark, [row()]), "s", 4)
+    house.write_batch(frame(spark, [row()]))
     assert house.raw().count() == 1
 
 
