@@ -13,6 +13,8 @@ from peakledger.functions import contract, events
 DEMAND_TOPICS = list(events.TOPIC.values())
 SIGNAL_TOPIC = "grid.signals"
 MESSAGE = "key string, value string, topic string"
+#: A micro-batch takes about this much at most, so that a replay is many batches of bounded size and not one.
+BATCH_BYTES, BATCH_EVENTS = 256 << 20, 1_000_000
 
 
 def routed(news: DataFrame) -> DataFrame:
@@ -35,15 +37,14 @@ def send(messages: DataFrame, root: str, batch: str, kafka: dict | None = None)
 
 def stream(spark: SparkSession, root: str, topics: list[str] | None = None, files_per_batch: int | None = None,
            kafka: dict | None = None) -> DataFrame:
-    """The topics from their beginning: key, value, topic."""
+    """The topics from their beginning: key, value, topic. Batches are bounded, by ``files_per_batch`` if it is given."""
     topics = topics or DEMAND_TOPICS
     if kafka is not None:
-        options = {"startingOffsets": "earliest", "subscribe": ",".join(topics), **kafka}
+        options = {"startingOffsets": "earliest", "subscribe": ",".join(topics), "maxOffsetsPerTrigger": str(BATCH_EVENTS), **kafka}
         source = spark.readStream.format("kafka").options(**options).load()
         return source.select(F.col("key").cast("string"), F.col("value").cast("string"), "topic")
     reader = spark.readStream.schema(f"{MESSAGE}, batch string").option("basePath", root)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader.option("maxBytesPerTrigger", BATCH_BYTES)
     return reader.parquet(root).where(F.col("topic").isin(topics)).select("key", "value", "topic")
 
 

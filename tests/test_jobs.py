@@ -104,6 +104,15 @@ def test_the_file_stream_takes_each_file_once(spark, tmp_path):
     assert house.rows(DONE).count() == 5 and house.state().count() == 5
 
 
+def test_a_replay_is_cut_into_batches_of_bounded_size(spark, tmp_path, monkeypatch):
+    message = spark.createDataFrame([("k", "not json", events.TOPIC["ICIDemand"])], topics.MESSAGE)
+    for batch in "abc":
+        topics.send(message, str(tmp_path / "topics"), batch)
+    monkeypatch.setattr(topics, "BATCH_BYTES", 1)
+    query = consume(spark, tmp_path, Warehouse(spark, str(tmp_path / "house")))
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+
+
 def test_stateful_stream_equals_its_batch_twin(spark, tmp_path):
     rng = random.Random(1)
     schema = ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
