@@ -256,6 +256,8 @@ def test_decontaminated_texts_hold_no_window(spark):
     docs, tests = samples.clashing(spark), samples.benchmark(spark)
     clean = decontaminate.clean(docs, tests)
     assert clean.columns == docs.columns and decontaminate.find(clean, tests).where("contaminated").count() == 0
+    sliced = decontaminate.clean(docs, tests, at_once=20)
+    assert sorted(map(repr, sliced.collect())) == sorted(map(repr, clean.collect()))
     before = {r["doc_id"]: r["text"] for r in docs.where("doc_id is not null").collect()}
     after = {r["doc_id"]: r["text"] for r in clean.where("doc_id is not null").collect()}
     assert set(before) - set(after) == {27}  # "one" is a benchmark item
