@@ -1,4 +1,4 @@
-"""Walk-forward evaluation on the demand feed: train on 1995-96, hold out 1997-98."""
+"""Walk-forward evaluation on the demand feed: all its base years, the last two held out."""
 
 from __future__ import annotations
 
@@ -11,9 +11,11 @@ from peakledger.plans.catalog.base import BARS, DAILY, HOURS, ratio_sql, registe
 from peakledger.plans.catalog.signals import DECISION, MARKET, hourly
 from peakledger.sources.feeds import demand_hours
 
-TRAIN, HOLDOUT = [1995, 1996], [1997, 1998]
+CATCH = 4  # peaks to catch for each training year, of five
+TRAINED = "base_year <= (SELECT hi - 2 FROM span)"
 
 TRUTH = """
+span AS (SELECT min(year(day - INTERVAL 4 MONTH)) AS lo, max(year(day - INTERVAL 4 MONTH)) AS hi FROM daily),
 truth AS (
   SELECT zone, year(day - INTERVAL 4 MONTH) AS base_year, peak_hour, peak, day,
          row_number() OVER (PARTITION BY zone, year(day - INTERVAL 4 MONTH) ORDER BY peak DESC, peak_hour) AS rank
@@ -22,7 +24,7 @@ WINDOW = f"""
 win AS (
   SELECT zone, list_sort(list(DISTINCT month(peak_hour {MARKET}))) AS months,
          greatest(1, min(hour(peak_hour {MARKET}) + 1) - 1) AS he_min, least(24, max(hour(peak_hour {MARKET}) + 1) + 1) AS he_max
-  FROM truth WHERE base_year IN (1995, 1996) GROUP BY 1)"""
+  FROM truth WHERE {TRAINED} GROUP BY 1)"""
 
 
 def inside_sql(column):
@@ -36,8 +38,7 @@ inside AS (
   FROM points p JOIN win USING (zone) WHERE {inside_sql('interval_start')}),
 timed AS (
   SELECT *, {DECISION} AS decided_at
-  FROM inside, (VALUES ('oracle'), ('persist2'), ('persist4'), ('day_ahead')) v(variant)
-  WHERE base_year BETWEEN 1995 AND 1998),
+  FROM inside, (VALUES ('oracle'), ('persist2'), ('persist4'), ('day_ahead')) v(variant)),
 known AS (
   SELECT t.*, CASE WHEN variant = 'day_ahead' THEN d.peak ELSE p.mw END AS estimate, b.bar
   FROM timed t
@@ -59,7 +60,7 @@ scored AS (
 facts AS (
   SELECT t.zone, t.base_year, count(*) AS peaks, sum(CAST({inside_sql('peak_hour')} AS INT))::BIGINT AS peaks_in_window,
          (SELECT count(*) FROM inside i WHERE i.zone = t.zone AND i.base_year = t.base_year) AS in_window_hours
-  FROM truth t JOIN win USING (zone) WHERE t.base_year BETWEEN 1995 AND 1998 GROUP BY 1, 2),
+  FROM truth t JOIN win USING (zone) GROUP BY 1, 2),
 grid AS (
   SELECT f.zone, f.base_year, v.variant, m.margin, f.peaks, f.peaks_in_window, f.in_window_hours,
          coalesce(captured, 0) AS captured, coalesce(alert_hours, 0) AS alert_hours, coalesce(alert_days, 0) AS alert_days,
@@ -70,13 +71,13 @@ grid AS (
   LEFT JOIN scored s ON s.zone = f.zone AND s.base_year = f.base_year AND s.variant = v.variant AND s.margin = m.margin),
 frontier AS (
   SELECT zone, variant, margin, sum(captured)::BIGINT AS captured, sum(alert_hours)::BIGINT AS alert_hours
-  FROM grid WHERE base_year IN (1995, 1996) GROUP BY 1, 2, 3),
+  FROM grid WHERE {TRAINED} GROUP BY 1, 2, 3),
 chosen AS (
-  SELECT zone, variant, margin FROM frontier
-  QUALIFY row_number() OVER (PARTITION BY zone, variant ORDER BY captured >= 8 DESC,
-    CASE WHEN captured >= 8 THEN 0 ELSE -captured END, alert_hours, CASE WHEN captured >= 8 THEN -margin ELSE margin END) = 1),
+  SELECT zone, variant, margin FROM (SELECT *, {CATCH} * (hi - lo - 1) AS aim FROM frontier, span)
+  QUALIFY row_number() OVER (PARTITION BY zone, variant ORDER BY captured >= aim DESC,
+    CASE WHEN captured >= aim THEN 0 ELSE -captured END, alert_hours, CASE WHEN captured >= aim THEN -margin ELSE margin END) = 1),
 scores AS (
-  SELECT g.*, CASE WHEN base_year IN (1995, 1996) THEN 'train' ELSE 'holdout' END AS part
+  SELECT g.*, CASE WHEN {TRAINED} THEN 'train' ELSE 'holdout' END AS part
   FROM grid g SEMI JOIN chosen USING (zone, variant, margin))"""
 FULL = f"WITH {HOURS}, {DAILY}, {BARS}, {TRUTH}, {WINDOW}, {GRID}"
 SCORE_COLUMNS = ["zone", "variant", "margin", "part", "captured", "peaks", "peaks_in_window", "alert_hours", "alert_days",
@@ -87,8 +88,17 @@ def _year():
     return F.col("base_year").cast("bigint").alias("base_year")
 
 
+def _split(points):
+    """(training years, hold-out years): all base years of the series."""
+    year = clock.base_year(clock.est_day(F.col("interval_start")))
+    lo, hi = points.agg(F.min(year), F.max(year)).first()
+    return ([], []) if lo is None else (list(range(lo, hi - 1)), [hi - 1, hi])
+
+
 def _result(spark, sf):
-    return backtest.walk_forward(hourly(spark, sf), TRAIN, HOLDOUT)
+    points = hourly(spark, sf)
+    train, holdout = _split(points)
+    return backtest.walk_forward(points, train, holdout, CATCH * len(train))
 
 
 @register("top5_peaks", f"""WITH {HOURS}, {DAILY}, {TRUTH}
@@ -102,8 +112,8 @@ def top5_peaks(spark, sf):
 @register("derive_window", f"""WITH {HOURS}, {DAILY}, {TRUTH}, {WINDOW}
 SELECT zone, array_to_string(months, ',') AS months, CAST(he_min AS BIGINT) AS he_min, CAST(he_max AS BIGINT) AS he_max FROM win""")
 def derive_window(spark, sf):
-    peaks = backtest.truth(series.daily_peaks(demand_hours(spark, sf)))
-    window = backtest.derive_window(peaks, TRAIN)
+    points = hourly(spark, sf)
+    window = backtest.derive_window(backtest.truth(series.daily_peaks(points)), _split(points)[0])
     return window.select("zone", F.array_join(F.col("months").cast("array<string>"), ",").alias("months"),
                          F.col("he_min").cast("bigint").alias("he_min"), F.col("he_max").cast("bigint").alias("he_max"))
 
@@ -136,7 +146,7 @@ def holdout_totals(spark, sf):
 
 @register("backtest_missed_peaks", f"""{FULL}
 SELECT t.zone, CAST(t.base_year AS BIGINT) AS base_year, c.variant, t.peak_hour FROM truth t JOIN chosen c USING (zone)
-WHERE t.base_year BETWEEN 1995 AND 1998 AND NOT EXISTS (
+WHERE NOT EXISTS (
   SELECT 1 FROM hits h WHERE h.zone = t.zone AND h.candidate_hour = t.peak_hour AND h.variant = c.variant AND h.margin = c.margin)""")
 def backtest_missed_peaks(spark, sf):
     return _result(spark, sf)["missed"].select("zone", _year(), "variant", "peak_hour")
