@@ -93,23 +93,15 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
 def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
     """Of measured rows: (host, line) above the host's limits.
 
-    A document counts once per line, and documents that show the line between the same two neighbours count as one, so copies of a
-    text do not make its lines common. Nor does a line count of which most documents show the same neighbours: that is a copied text
-    with small changes. Null hosts form a host of their own.
+    A document counts once per line, and texts that agree in all their normalised lines count as one document, so copies of a text do
+    not make its lines common. Null hosts form a host of their own.
     """
-    def in_context(h: Column) -> Column:
-        before = F.concat(F.array(F.lit(0).cast("long")), F.slice(h, 1, F.size(h) - 1))
-        after = F.concat(F.slice(h, 2, F.size(h)), F.array(F.lit(1).cast("long")))
-        return F.zip_with(h, F.arrays_zip(before.alias("b"), after.alias("a")), lambda x, n: F.struct(x.alias("line"), F.xxhash64(n["b"], n["a"]).alias("context")))
-
-    placed = F.when(F.size("lines") > 0, let(F.col("lines.line"), lambda h: F.array_distinct(in_context(h))))
-    shown = rows.select("host", F.explode(placed).alias("x")).select("host", "x.line", "x.context")
-    by_context = shown.groupBy("host", "line", "context").agg(F.count("*").alias("n"))
-    by_line = by_context.groupBy("host", "line").agg(F.count("*").alias("texts"), F.sum("n").alias("docs"), F.max("n").alias("most"))
+    whole = rows.where(F.size("lines") > 0).select("host", F.xxhash64("lines.line").alias("whole"), F.array_distinct("lines.line").alias("shown"))
+    once = whole.groupBy("host", "whole").agg(F.first("shown").alias("shown"))
+    by_line = once.select("host", F.explode("shown").alias("line")).groupBy("host", "line").agg(F.count("*").alias("docs"))
     hosts = rows.groupBy("host").agg(F.count("*").alias("total"))
     # The floor is applied before the join with the hosts, so that only lines that may be common travel.
-    likely = by_line.where((F.col("texts") >= min_docs) & (2 * F.col("most") <= F.col("docs")))
-    return likely.join(hosts, "host").where(F.col("texts") >= min_share * F.col("total")).select("host", "line")
+    return by_line.where(F.col("docs") >= min_docs).join(hosts, "host").where(F.col("docs") >= min_share * F.col("total")).select("host", "line")
 
 
 def removed_lines(rows: DataFrame, **limits: float) -> DataFrame:

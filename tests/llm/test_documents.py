@@ -216,6 +216,18 @@ def test_common_lines_go_and_depleted_documents_too(spark):
     assert cleaned[100]["text"] == docs.where("doc_id = 100").first()["text"] and cleaned[100]["n_chars"] == 1
 
 
+def test_every_line_of_a_block_of_furniture_goes(spark):
+    """Inner lines of a block always stand between the same neighbours, and its last one before the end."""
+    foot = ["About this site and its makers", "Terms of use and privacy", "Contact the editors by letter", "All rights are with the authors", "Printed on grey paper here"]
+    rows = [(k, samples.prose(300 + k, 60) + "\n" + "\n".join(foot), "en", "h", 1) for k in range(40)]
+    rows.append((90, "just three words\n" + "\n".join(foot), "en", "h", 1))
+    docs = spark.createDataFrame(rows, samples.DOCS)
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    assert {r["n_removed_words"] for r in got.values()} == {sum(len(x.split()) for x in foot)}
+    assert not got[90]["kept"] and not got[90]["base_failed"] and all(got[k]["kept"] for k in range(40))
+    assert {r["doc_id"]: r["text"] for r in quality.clean(docs).collect()} == {k: samples.prose(300 + k, 60) for k in range(40)}
+
+
 def test_quality_clean_keeps_columns_and_repeats(spark):
     docs = samples.clashing(spark)
     kept = quality.clean(docs)
