@@ -228,6 +228,15 @@ def test_every_line_of_a_block_of_furniture_goes(spark):
     assert {r["doc_id"]: r["text"] for r in quality.clean(docs).collect()} == {k: samples.prose(300 + k, 60) for k in range(40)}
 
 
+def test_a_line_repeated_inside_one_document_is_not_common(spark):
+    often = "\n".join(f"{samples.prose(500 + k, 8)}\n{k}" for k in range(15))
+    rows = [(1, often, "en", "h", 1), *((k, samples.prose(600 + k, 30) + f"\n{k}", "en", "h", 1) for k in range(2, 10))]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, samples.DOCS)).collect()}
+    assert {r["n_removed_words"] for r in got.values()} == {0}  # nine documents show a number alone
+    more = spark.createDataFrame([*rows, (10, samples.prose(700, 30) + "\n77", "en", "h", 1)], samples.DOCS)
+    assert {r["doc_id"]: r["n_removed_words"] for r in quality.judge(more).collect()} == {1: 15, **{k: 1 for k in range(2, 11)}}
+
+
 def test_quality_clean_keeps_columns_and_repeats(spark):
     docs = samples.clashing(spark)
     kept = quality.clean(docs)
