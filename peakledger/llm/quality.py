@@ -16,8 +16,9 @@ WINDOW = 5
 #: A document with fewer words, or a larger share (percent) of words in repeated windows, fails at once.
 MIN_WORDS = 10
 MAX_REPEATED = 20
-#: A line counts as the host's own furniture from so many distinct documents on, and from this share of the host's documents on.
+#: A line counts as the host's own furniture from so many distinct documents on, however many documents the host has.
 MIN_DOCS = 10
+#: Read by the SQL twin only.
 MIN_SHARE = 0.001
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.3
@@ -90,8 +91,8 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEATED * n_words)
 
 
-def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """Of measured rows: (host, line) above the host's limits.
+def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """Of measured rows: (host, line) shown by at least min_docs documents of the host.
 
     A document counts once per line, and texts that agree in all their normalised lines count as one document, so copies of a text do
     not make its lines common. Null hosts form a host of their own.
@@ -99,9 +100,7 @@ def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, min_share: float = M
     whole = rows.where(F.size("lines") > 0).select("host", F.xxhash64("lines.line").alias("whole"), F.array_distinct("lines.line").alias("shown"))
     once = whole.groupBy("host", "whole").agg(F.first("shown").alias("shown"))
     by_line = once.select("host", F.explode("shown").alias("line")).groupBy("host", "line").agg(F.count("*").alias("docs"))
-    hosts = rows.groupBy("host").agg(F.count("*").alias("total"))
-    # The floor is applied before the join with the hosts, so that only lines that may be common travel.
-    return by_line.where(F.col("docs") >= min_docs).join(hosts, "host").where(F.col("docs") >= min_share * F.col("total")).select("host", "line")
+    return by_line.where(F.col("docs") >= min_docs).select("host", "line")
 
 
 def removed_lines(rows: DataFrame, **limits: float) -> DataFrame:

@@ -237,6 +237,14 @@ def test_a_line_repeated_inside_one_document_is_not_common(spark):
     assert {r["doc_id"]: r["n_removed_words"] for r in quality.judge(more).collect()} == {1: 15, **{k: 1 for k in range(2, 11)}}
 
 
+def test_rows_of_a_host_do_not_raise_the_limit(spark):
+    foot = "Terms of use and privacy"
+    few = spark.createDataFrame([(k, samples.prose(800 + k, 30) + "\n" + foot, "en", "h", 1) for k in range(10)], samples.DOCS)
+    many = spark.range(1000, 12000).select(F.col("id").alias("doc_id"), F.lit(samples.prose(9, 20)).alias("text"), F.lit("en").alias("lang"), F.lit("h").alias("source"), F.lit(1).cast("long").alias("n_chars"))
+    found = quality.judge(few.unionByName(many)).where("n_removed_words > 0").collect()
+    assert {r["doc_id"]: r["n_removed_words"] for r in found} == {k: 5 for k in range(10)}
+
+
 def test_quality_clean_keeps_columns_and_repeats(spark):
     docs = samples.clashing(spark)
     kept = quality.clean(docs)
