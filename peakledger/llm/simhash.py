@@ -77,9 +77,11 @@ def _within(fp: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[np.ndarray
         first = np.repeat(starts[small], sizes[small])
         planes = _planes(fp[at], word, at - first, int(small.sum()))
         near = np.zeros(len(at), np.uint64)
+        # The lanes a bucket has: unused ones hold zero bits, which fingerprints of few bits would be near to.
+        real = ~np.uint64(0) >> (BITS - sizes[small]).astype(np.uint64)
         for k in range(0, len(at), PAIRS_AT_ONCE):
             q = slice(k, k + PAIRS_AT_ONCE)
-            near[q] = _alive(planes, word[q], fp[at[q]], radius)
+            near[q] = _alive(planes, word[q], fp[at[q]], radius) & real[word[q]]
         begin = np.searchsorted(at, first)
         root[at] = first + _lowest(_closure(near, begin, sizes[small].max()))
     for s, n in zip(starts[sizes > BITS], sizes[sizes > BITS]):

@@ -159,6 +159,17 @@ def test_links_connect_dense_clouds_as_all_pairs_do(spark, divide_above):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, theirs.values()))
 
 
+@pytest.mark.parametrize("sizes", [(2, 5), (5, 2), (2, 64), (2,)])
+def test_zero_is_not_near_the_lanes_a_bucket_lacks(sizes):
+    """A bucket holds zero as its second member, alone or beside a larger one; no two members are near."""
+    pick = random.Random(11)
+    fp, bucket = [], []
+    for number, size in enumerate(sizes):
+        fp += [0xFFFFFFFF, 0] if size == 2 else [pick.getrandbits(64) for _ in range(size)]
+        bucket += [number] * size
+    assert [x.tolist() for x in simhash._within(np.array(fp, np.uint64), np.array(bucket), 2)] == [[], []]
+
+
 def test_components_of_chains_stars_and_repeats(spark):
     edges = [(k, k + 1) for k in range(30)] + [(100, k) for k in range(101, 140)] + [(5, 5), (200, 201), (201, 200), (None, 3)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
