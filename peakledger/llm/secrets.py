@@ -17,6 +17,8 @@ KINDS = ("assign", "access", "hex", "token")
 #: Strings of at least this length with fewer characters per token count as random.
 MIN_LENGTH = 20
 MAX_CHARS_PER_TOKEN = 2.3
+#: The same for strings without a digit, which are mostly words: a stricter limit.
+MAX_CHARS_PER_TOKEN_OF_LETTERS = 2.2
 
 # The shapes.
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -50,10 +52,8 @@ _loaded: dict[str, Vocabulary] = {}
 
 
 def known(string: str) -> bool:
-    """Digests, identifiers and numbers, which are random but not secret; and strings of words only."""
-    if KNOWN.fullmatch(string) or HEXADECIMAL.fullmatch(string) and len(string) in DIGEST_LENGTHS:
-        return True
-    return not (any(c.isdigit() for c in string) and any(c.isalpha() for c in string))
+    """Digests, identifiers and numbers, which are random but not secret."""
+    return bool(KNOWN.fullmatch(string) or HEXADECIMAL.fullmatch(string) and len(string) in DIGEST_LENGTHS)
 
 
 def spans_of(text: str | None, ranks: str, pattern: str) -> list[tuple[str, int, int]]:
@@ -77,7 +77,8 @@ def spans_of(text: str | None, ranks: str, pattern: str) -> list[tuple[str, int,
                 continue
             if ranks not in _loaded:
                 _loaded[ranks] = Vocabulary(ranks, pattern)
-            if _loaded[ranks].chars_per_token(m[0]) < MAX_CHARS_PER_TOKEN:
+            limit = MAX_CHARS_PER_TOKEN if any(c.isdigit() for c in m[0]) else MAX_CHARS_PER_TOKEN_OF_LETTERS
+            if _loaded[ranks].chars_per_token(m[0]) < limit:
                 found.append(("token", *m.span()))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 

@@ -351,6 +351,16 @@ def test_added_kinds():
         assert found(calm) == []
 
 
+def test_random_strings_of_letters_only():
+    ranks, pattern, pick = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, random.Random(2)
+    found = lambda t: [k for k, *_ in secrets.spans_of(t, ranks, pattern)]
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"):
+        for _ in range(50):
+            assert found("see " + "".join(pick.choice(letters) for _ in range(32)) + " ok") == ["token"]
+    for calm in ("straightforwardnesses", "AbstractSingletonProxyFactoryBean", "MAX_CONNECTIONS_PER_ROUTE", "Kraftfahrzeughaftpflichtversicherung", "/usr/local/share/documentation", "--------------------"):
+        assert found(calm) == []
+
+
 def test_span_queries_and_masking(spark):
     docs = samples.clashing(spark).unionByName(spark.createDataFrame([(900, "x@y.example and +1 (555) 010-9999", "en", "s", 34)], samples.DOCS), allowMissingColumns=True)
     r = queries._span_columns(pii.find(docs), ["email", "ip", "card", "phone"]).where("doc_id = 900").first()
