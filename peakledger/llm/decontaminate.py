@@ -121,7 +121,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, keep: list[Column], text: str
     cutting adds cut: the text without its spans, null where there are none. It is made in the scan itself, as a second Python
     function in a task would keep a second worker alive.
 
-    A benchmark of any size can be used: its items are dealt into slices of bounded size, and documents pass through one scan a
+    A benchmark of any size can be used: its distinct items are dealt into slices of bounded size, and documents pass through one scan a
     slice. Each scan but the last is stored, so that a worker never waits with its slice for the next one. Null texts have no words.
     An item without words has no window; items with a null id count under "null".
     """
@@ -129,11 +129,12 @@ def scanned(docs: DataFrame, benchmark: DataFrame, keep: list[Column], text: str
                        F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"),
                        *([F.lit(None).cast("string").alias("cut")] if cutting else []))
     tests = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("item"), utf8(item_text).alias("raw"))
-    # An upper bound on the words, hence on the windows, without moving any text.
-    weight = tests.agg(F.sum(F.floor((F.octet_length("raw") + 1) / 2)).alias("w")).first()["w"] or 0
+    # An upper bound on the words of the distinct rows, hence on the windows, without moving any text.
+    by_hash = tests.groupBy(F.xxhash64("item", "raw")).agg(F.max(F.floor((F.octet_length("raw") + 1) / 2)).alias("w"))
+    weight = by_hash.agg(F.sum("w").alias("w")).first()["w"] or 0
     slices = max(1, -(-weight // at_once))
     for k in range(slices):
-        part = tests.where(F.pmod(F.xxhash64("item", "raw"), F.lit(slices)) == k)
+        part = tests.where(F.pmod(F.xxhash64("item", "raw"), F.lit(slices)) == k).distinct()
         last = k == slices - 1
         wide = _scan(wide, [(r["item"], bytes(r["raw"])) for r in part.collect()], size, cutting and last)
         if not last:

@@ -292,6 +292,16 @@ def test_decontamination_by_brute_force(spark, at_once):
     assert decontaminate.find(samples.documents(spark), samples.benchmark(spark).limit(0)).where("contaminated").count() == 0
 
 
+def test_copies_of_a_benchmark_item_are_scanned_once(spark, monkeypatch):
+    scans, scan = [], decontaminate._scan
+    monkeypatch.setattr(decontaminate, "_scan", lambda docs, items, *a: (scans.append(items), scan(docs, items, *a))[1])
+    tests = samples.benchmark(spark)
+    many = tests.unionByName(tests.where("item_id = 1").crossJoin(spark.range(500)).select("item_id", "text"))
+    once = decontaminate.find(samples.documents(spark), tests, at_once=1000)
+    found = decontaminate.find(samples.documents(spark), many, at_once=1000)
+    assert len(scans) == 2 and sorted(scans[0]) == sorted(scans[1]) and same(once, found)
+
+
 def test_decontaminated_texts_hold_no_window(spark):
     docs, tests = samples.clashing(spark), samples.benchmark(spark)
     clean = decontaminate.clean(docs, tests)
