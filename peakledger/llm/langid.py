@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.shipping import by_value
-from .common import arrow_pass
+from .common import arrow_pass, checkpoint
 
 LENGTHS = (3, 4)
 #: log2 of the slots; hash functions; n-grams kept per language, from the most frequent; documents learned from per language, on average.
@@ -21,9 +21,7 @@ SLOT_BITS = 20
 HASHES = 3
 GRAMS = 30_000
 SAMPLE = 2_000
-#: Languages learned, the most frequent ones.
-LANGUAGES = 256
-#: An n-gram belongs to a language if at least this share of its sampled documents, and two of them, hold it.
+#: An n-gram belongs to a language if at least this share of its sampled documents, and two of them where there are two, hold it.
 MIN_SHARE = 0.005
 #: Characters worked on at once.
 CHARS_AT_ONCE = 1 << 19
@@ -115,15 +113,15 @@ class Filters:
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, kept: int = GRAMS) -> Filters:
     """From rows with a language. Learns from about `sample` whole documents of each, those whose id hashes below that share.
 
-    What reaches the driver is bounded: `kept` n-gram hashes a language. Rows without text or language are not learned from.
+    What reaches the driver is `kept` n-gram hashes a language; every value of lang is a language. Rows without text or language are
+    not learned from.
     """
     labelled = docs.select(F.col(doc_id).cast("string").alias("id"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # A share of each language by hash: no language meets in one task, and no text is moved. Equal rows are chosen alike.
-    totals = labelled.groupBy("lang").agg(F.count("*").alias("total")).orderBy(F.desc("total"), "lang").limit(LANGUAGES).collect()
-    shares = F.create_map(*[F.lit(x) for r in totals for x in (r["lang"], sample / r["total"])]) if totals else F.create_map().cast("map<string, double>")
+    totals = checkpoint(labelled.groupBy("lang").agg(F.count("*").alias("total")))  # a row a language
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 31)) / F.lit(float(1 << 31))
-    some = labelled.where(place < shares[F.col("lang")]).select("lang", "text")
+    some = labelled.join(F.broadcast(totals), "lang").where(place < F.lit(float(sample)) / F.col("total")).select("lang", "text")
 
     def counted(x: dict[str, list]) -> dict[str, list]:
         """Documents of these that hold an n-gram, by language."""
@@ -140,7 +138,8 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
     found = arrow_pass(some.select("lang", "text"), "lang string, gram long, docs long", counted)
     sizes = some.groupBy("lang").agg(F.count("*").alias("size"))
-    frequent = found.groupBy("lang", "gram").agg(F.sum("docs").alias("docs")).where("docs > 1").join(sizes, "lang").where(F.col("docs") >= MIN_SHARE * F.col("size"))
+    frequent = found.groupBy("lang", "gram").agg(F.sum("docs").alias("docs")).join(F.broadcast(sizes), "lang")
+    frequent = frequent.where(F.col("docs") >= F.greatest(F.least(F.lit(2), F.col("size")), MIN_SHARE * F.col("size")))
     first = Window.partitionBy("lang").orderBy(F.desc("docs"), "gram")
     top = frequent.withColumn("n", F.row_number().over(first)).where(F.col("n") <= kept)
     rows = top.select("lang", "gram").toPandas()

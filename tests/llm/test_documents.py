@@ -402,3 +402,12 @@ def test_language_by_held_out_accuracy(spark):
     learned = langid.Filters({"x": np.arange(5, dtype=np.uint64)})
     total, _ = learned.shares(["a" * 9, "word " * 200_000])  # longer than what is worked on at once
     assert total.tolist() == [9 + 8, 200_000 * (4 + 3)]
+
+
+def test_every_language_is_learned_also_from_one_document(spark):
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 3 * 300)]
+    pools = {f"l{k:03}": letters[3 * k:3 * k + 3] for k in range(300)}  # no two share a letter
+    rows = [(k, " ".join("".join(random.Random(f"{k}{w}").choices(pool, k=4)) for w in range(30)), lang) for k, (lang, pool) in enumerate(pools.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(docs, langid.learn(docs), ["doc_id"]).collect()}
+    assert got == {k: lang for k, _, lang in rows}
