@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.shipping import by_value
+
 #: Rows of an Arrow batch that one step of a Python pass works on; bounds the memory of very long texts.
 ROWS_AT_ONCE = 512
 
@@ -70,3 +75,14 @@ def arrow_pass(df: DataFrame, schema: str, rows: Callable[[dict[str, list]], dic
 def utf8(column: str = "text") -> Column:
     """The bytes of a text; null counts as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
+
+
+def per_worker(key: Hashable, make: Callable[[], Any]) -> Any:
+    """make(), once for each Python worker, however many tasks it runs."""
+    kept = vars(sys.modules.setdefault("peakledger_worker", types.ModuleType("peakledger_worker"))).setdefault("kept", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+by_value(__name__)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontaminate, htmltext, langid, packing, pii, quality, secrets, simhash, urlfilter, warc
+from . import conversations, decontaminate, htmltext, jaccard, langid, packing, pii, quality, secrets, simhash, urlfilter, warc, whitening
 from .common import table
 
 #: Rules (verdict, host, path).
@@ -84,5 +84,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pack_sequences, op2_simhash_groups, op3_language, op4_quality, op5_main_text, op6_personal_data, op7_warc,
-                                   op8_secrets, op9_url_rules, op10_decontaminate)}
+                                   op8_secrets, op9_url_rules, op10_decontaminate, op11_conversations, op12_jaccard_classes, op13_whitening)}
