@@ -9,7 +9,10 @@ equal sequences, is then joined back to the pieces: the n-th piece of a length g
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
@@ -17,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.shipping import by_value
-from .common import stored, utf8
+from .common import per_worker, stored, utf8
 
 CAPACITY = 2048
 END = 0
@@ -28,27 +31,44 @@ END = 0
 SMALL = 1 / 16
 #: Numbers of groups that are tried; the fewest sequences win, the fewer groups among equals.
 GROUPS = (16, 64, 256, 1024)
-#: Pretokens a worker remembers before it starts anew.
-REMEMBERED = 400_000
 #: Bytes of ids in one Arrow batch.
 BATCH_BYTES = 8 << 20
-#: (task, length) counts up to which they are broadcast; beyond, they are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Texts with so many characters without a space go through the tokenizer whole.
+UNBROKEN = 400
 
-# The pretoken pattern of the byte-level vocabulary, its classes written out for the characters of SIMPLE.
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ʯ"
-NUMBERS = "0-9²³¹¼-¾"
-SPACE = " \t\n\x0b\x0c\r\x85\xa0"
-PRETOKEN = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACE}{LETTERS}{NUMBERS}]+"
-            f"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-SIMPLE = r"[\t\n\r\x20-\x7e\xa0-ʯ]*"
+# Fixed value: the pattern of byte-level pretokens, and the part of it that is left where no two white-space characters meet.
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
+RUNS, SINGLE = r"|\s+(?!\S)|\s+", r"|\s"
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters that byte-level vocabularies write for bytes: printable Latin stands for itself, the others follow from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
+def ranks(file: dict) -> dict[bytes, int] | None:
+    """Ids by token of a tokenizer file whose merges alone decide, or None: byte-level, nothing normalised, merges in order of ids."""
+    model, before = file["model"], file.get("pre_tokenizer") or {}
+    plain = (model.get("type") == "BPE" and not file.get("normalizer") and not file.get("truncation") and not file.get("padding")
+             and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")))
+    letters, ids = byte_letters(), model.get("vocab")
+    if not plain or not all(c in ids for c in letters):
+        return None
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    order = [ids.get(m, -1) for m in merged]
+    if any(a >= b for a, b in zip([-1, *order], order)):
+        return None
+    return {bytes(letters[c] for c in token): ids[token] for token in [*letters, *merged]}
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit bytes.
+    """Ids as little-endian unsigned 32-bit bytes, those that the tokenizers library gives for the file.
 
-    A text of plain Latin characters is cut into pretokens here, and each different pretoken goes through the tokenizer once. Any
-    other text, and one that holds a special token, goes through the tokenizer whole.
+    Where the file's merges alone decide, tiktoken applies them, as it is several times as fast. Texts that hold an added token or a
+    very long unbroken run, and files of any other kind, go through the tokenizers library. Nothing is remembered between texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -56,25 +76,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
-        self.pretokens, self.simple = re.compile(PRETOKEN).findall, re.compile(SIMPLE).fullmatch
+        with open(path, encoding="utf-8") as file:
+            merges = ranks(json.load(file))
+        self.single = self.runs = None
+        if merges is not None:
+            import tiktoken
+
+            self.single, self.runs = (tiktoken.Encoding(name, pat_str=PRETOKEN + rest, mergeable_ranks=merges, special_tokens={}).encode_ordinary
+                                      for name, rest in (("single", SINGLE), ("runs", RUNS)))
+        self.two_spaces, self.many_spaces = re.compile(r"\s\s").search, re.compile(r"\s{%d}" % UNBROKEN).search
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    @staticmethod
+    def unbroken(text: str) -> bool:
+        at = 0
+        while at + UNBROKEN < len(text):
+            at = text.rfind(" ", at, at + UNBROKEN) + 1
+            if not at:
+                return True
+        return False
+
     def __call__(self, text: str) -> bytes:
-        if not self.simple(text) or any(s in text for s in self.special):
+        if self.single is None or self.unbroken(text) or any(s in text for s in self.special):
             return self._whole(text)
-        known, found = self.known, self.pretokens(text)
-        try:
-            return b"".join([known[p] for p in found])
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-            for p in set(found):
-                if p not in known:
-                    known[p] = self._whole(p)
-            return b"".join([known[p] for p in found])
+        if not self.two_spaces(text):
+            ids = self.single(text)
+        elif self.many_spaces(text):
+            return self._whole(text)
+        else:
+            ids = self.runs(text)
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -92,7 +128,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: st
     schema = f"doc_id {kind.simpleString()}, piece int, start long, length long, ids binary, task int, nth long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, task = Encoder(tokenizer), defaultdict(int), TaskContext.get().partitionId()
+        encode, seen, task = per_worker(("encoder", tokenizer), lambda: Encoder(tokenizer)), defaultdict(int), TaskContext.get().partitionId()
         end = np.asarray([END], "<u4").tobytes()
         rows: list[tuple] = []
 
@@ -276,33 +312,47 @@ def places(runs: list[list]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids, sequence_id, offset): every piece with its ids and its place, gapless from 0 in a sequence.
+def _last_up_to(firsts: Column, rank: Column, most: int) -> Column:
+    """Position of the last of the rising firsts that is not above rank, in as many steps as `most` has bits."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, (most - 1).bit_length())))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(firsts, at + step) <= rank, at + step).otherwise(at))
 
-    Null texts count as empty; an empty table gives an empty one. Other columns are not read.
+
+def place(cuts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """cuts (task, length, nth, ...) with sequence_id and offset in place of task and nth: what is carried besides is up to the caller.
+
+    The histogram of lengths, at most `capacity` rows, and the plan made from it pass through the driver.
     """
-    spark = docs.sparkSession
-    cuts = stored(pieces(docs, tokenizer, capacity, doc_id, text), "pieces")
+    spark = cuts.sparkSession
     by_task = cuts.groupBy("task", "length").agg(F.count("*").alias("n"))
-    # At most `capacity` rows reach the driver.
     histogram = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    runs = packed(histogram, capacity)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    if by_task.count() <= BROADCAST_ROWS:
-        bases = F.broadcast(bases)
-    columns = "length long, blocks array<struct<first long, last long, sequence long, offset long, count long>>"
     blocks: dict[int, list] = defaultdict(list)
-    for length, *rest in places(runs):
+    for length, *rest in places(packed(histogram, capacity)):
         blocks[length].append(tuple(rest))
-    plan = spark.createDataFrame(list(blocks.items()), columns)  # at most `capacity` rows
+    rows = [(length, [b[0] for b in own], [b[1:] for b in own]) for length, own in blocks.items()]
+    plan = spark.createDataFrame(rows, "length long, firsts array<long>, blocks array<struct<last long, sequence long, offset long, count long>>")
+    kept = [c for c in cuts.columns if c not in ("task", "nth")]
     ranked = cuts.join(bases, ["task", "length"]).withColumn("rank", F.col("base") + F.col("nth")).join(F.broadcast(plan), "length")
-    rank = F.col("rank")
-    ranked = ranked.withColumn("b", F.filter("blocks", lambda b: (b["first"] <= rank) & (rank < b["last"]))[0])
-    turn = F.col("rank") - F.col("b.first")
-    return ranked.select("doc_id", "piece", "start", "length", "ids",
-                         (F.col("b.sequence") + F.floor(turn / F.col("b.count"))).cast("long").alias("sequence_id"),
+    at = _last_up_to(F.col("firsts"), F.col("rank"), max([len(r[1]) for r in rows] or [1]))
+    ranked = ranked.withColumn("at", at).withColumn("b", F.get("blocks", F.col("at")))
+    turn = F.col("rank") - F.get("firsts", F.col("at"))
+    return ranked.select(*kept, (F.col("b.sequence") + F.floor(turn / F.col("b.count"))).cast("long").alias("sequence_id"),
                          (F.col("b.offset") + turn % F.col("b.count") * F.col("length")).cast("long").alias("offset"))
 
 
+def cuts(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The pieces of docs, written once to the shared folder."""
+    return stored(pieces(docs, tokenizer, capacity, doc_id, text), "pieces")
+
+
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, piece, start, length, ids, sequence_id, offset): every piece with its ids and its place, gapless from 0 in a sequence.
+
+    Null texts count as empty; an empty table gives an empty one. Other columns are not read.
+    """
+    return place(cuts(docs, tokenizer, capacity, doc_id, text), capacity)
+
+
 by_value(__name__)

@@ -18,8 +18,8 @@ def vocabulary(name: str) -> str:
 
 
 def op1_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
-    return placed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    cuts = packing.cuts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return packing.place(cuts.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
