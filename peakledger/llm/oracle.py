@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from .quality import LEFT_SHARE, MAX_REPEATED, MIN_DOCS, MIN_SHARE, MIN_WORDS
+from .jaccard import PERCENT
+from .quality import HOST_PERCENT, LEFT_SHARE, MAX_REPEATED, MIN_DOCS, MIN_WORDS
 from .queries import URL_RULES
 
 _SPACE = r"[\x20\x09-\x0D]"
@@ -18,10 +19,11 @@ lines AS (SELECT row, source, line, i, trim(regexp_replace(lower(list_aggregate(
     len([x FOR x IN string_split_regex(line, '{_SPACE}+') IF x <> '']) AS n FROM (SELECT row, source, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELECT row, source, string_split(t, chr(10)) AS l FROM d))
     WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT row, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY row),
-placed AS (SELECT DISTINCT row, source, norm, lag(norm) OVER p AS b, lead(norm) OVER p AS a FROM lines WINDOW p AS (PARTITION BY row ORDER BY i)),
-contexts AS (SELECT source, norm, b, a, count(*) AS n FROM placed GROUP BY ALL),
-common AS (SELECT c.source, norm FROM contexts c JOIN (SELECT source, count(*) AS total FROM d GROUP BY source) h ON c.source IS NOT DISTINCT FROM h.source
-    GROUP BY c.source, norm, total HAVING count(*) >= {MIN_DOCS} AND 2 * max(n) <= sum(n) AND count(*) >= {MIN_SHARE} * total),
+bodies AS (SELECT row, source, string_agg(norm, chr(10) ORDER BY i) AS body FROM lines GROUP BY row, source),
+hosts AS (SELECT source, count(DISTINCT body) AS total FROM bodies GROUP BY source),
+per_line AS (SELECT l.source, norm, count(DISTINCT body) AS docs FROM lines l JOIN bodies b ON b.row = l.row GROUP BY l.source, norm),
+common AS (SELECT p.source, norm FROM per_line p JOIN hosts h ON p.source IS NOT DISTINCT FROM h.source
+    WHERE docs >= {MIN_DOCS} AND 100 * docs >= {HOST_PERCENT} * total),
 gone AS (SELECT row, sum(n) AS n FROM lines l WHERE EXISTS (SELECT 1 FROM common c WHERE c.source IS NOT DISTINCT FROM l.source AND c.norm = l.norm) GROUP BY row),
 base AS (SELECT doc_id, coalesce((SELECT count(*) FROM words w WHERE w.row = d.row), 0) AS n_words, length(regexp_replace(t, '{_SPACE}', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words, coalesce(gone.n, 0) AS n_removed_words
@@ -48,4 +50,19 @@ fit AS (SELECT row, r.host || r.path AS rule, r.verdict, row_number() OVER (PART
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN fit ON fit.row = u.row AND n = 1
 """
 
-SQL = {"op4_quality": QUALITY, "op7_warc": WARC, "op9_url_rules": URLS}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CLASSES = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN string_split_regex({_LOWER}, '{_SPACE}+') IF x <> ''] AS w FROM documents),
+shingles AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, len(w) - 3)]) END AS s FROM w),
+sets AS (SELECT min(doc_id) AS doc_id, list_sort(s) AS s, len(s) AS n FROM shingles WHERE len(s) > 0 GROUP BY ALL),
+members AS (SELECT x.doc_id, x.n_shingles, sets.doc_id AS rep FROM (SELECT doc_id, len(s) AS n_shingles, list_sort(s) AS s FROM shingles) x LEFT JOIN sets ON sets.s = x.s),
+tokens AS (SELECT doc_id, n, unnest(s) AS t FROM sets),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+reach AS (SELECT a AS start, a AS at FROM links UNION SELECT reach.start, links.b FROM reach JOIN links ON links.a = reach.at),
+least AS (SELECT start, min(at) AS least FROM reach GROUP BY start)
+SELECT doc_id, n_shingles, coalesce(least, rep, doc_id) AS component_id FROM members LEFT JOIN least ON start = rep
+"""
+
+SQL = {"op4_quality": QUALITY, "op7_warc": WARC, "op9_url_rules": URLS, "op12_jaccard_classes": CLASSES}

@@ -16,10 +16,9 @@ WINDOW = 5
 #: A document with fewer words, or a larger share (percent) of words in repeated windows, fails at once.
 MIN_WORDS = 10
 MAX_REPEATED = 20
-#: A line counts as the host's own furniture from so many distinct documents on, however many documents the host has.
-MIN_DOCS = 10
-#: Read by the SQL twin only.
-MIN_SHARE = 0.001
+#: A line is the host's own furniture if so many distinct documents show it, and so many percent of the host's distinct documents.
+MIN_DOCS = 5
+HOST_PERCENT = 5
 #: A document is depleted when less than this share of its words is left.
 LEFT_SHARE = 0.3
 
@@ -91,16 +90,19 @@ def fails_base(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (100 * n_repeat_words > MAX_REPEATED * n_words)
 
 
-def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Of measured rows: (host, line) shown by at least min_docs documents of the host.
+def common_lines(rows: DataFrame, min_docs: int = MIN_DOCS, host_percent: int = HOST_PERCENT) -> DataFrame:
+    """Of measured rows: (host, line) shown by at least min_docs documents and host_percent of the documents of the host.
 
-    A document counts once per line, and texts that agree in all their normalised lines count as one document, so copies of a text do
-    not make its lines common. Null hosts form a host of their own.
+    A document counts once per line, and texts that agree in all their normalised lines count as one document, above and below the
+    line of the share, so neither do copies of a text make its lines common, nor does a host's size. Documents without a line do not
+    count. Null hosts form a host of their own.
     """
     whole = rows.where(F.size("lines") > 0).select("host", F.xxhash64("lines.line").alias("whole"), F.array_distinct("lines.line").alias("shown"))
     once = whole.groupBy("host", "whole").agg(F.first("shown").alias("shown"))
     by_line = once.select("host", F.explode("shown").alias("line")).groupBy("host", "line").agg(F.count("*").alias("docs"))
-    return by_line.where(F.col("docs") >= min_docs).select("host", "line")
+    hosts = whole.select("host", "whole").distinct().groupBy("host").agg(F.count("*").alias("total"))
+    often = by_line.where(F.col("docs") >= min_docs).join(hosts, "host")
+    return often.where(100 * F.col("docs") >= host_percent * F.col("total")).select("host", "line")
 
 
 def removed_lines(rows: DataFrame, **limits: float) -> DataFrame:
