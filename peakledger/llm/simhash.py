@@ -44,10 +44,10 @@ def fingerprint(text: bytes, shingle: int = WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = WORDS) -> DataFrame:
-    """(doc_id, fp long), one row per row."""
+    """(doc_id, body, fp long), one row per row; body is a hash of the text as it stands."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    return arrow_pass(docs.select(F.col(doc_id).alias("doc_id"), utf8(text).alias("raw")), f"doc_id {kind}, fp long",
-                      lambda x: {"doc_id": x["doc_id"], "fp": [fingerprint(t, shingle) for t in x["raw"]]})
+    read = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"), utf8(text).alias("raw"))
+    return arrow_pass(read, f"doc_id {kind}, body long, fp long", lambda x: {"doc_id": x["doc_id"], "body": x["body"], "fp": [fingerprint(t, shingle) for t in x["raw"]]})
 
 
 def _keys(value: Column, blocks: int, width: int) -> list[Column]:
@@ -227,37 +227,47 @@ def links(fps: DataFrame, radius: int = RADIUS, divide_above: int = DIVIDE_ABOVE
     return dealt.mapInArrow(_link_batches(radius), "a long, b long")
 
 
+def rooted(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """nodes (fp, ...), one per fingerprint, with root: a fingerprint that all of a component share."""
+    found = components(links(nodes.select("fp"), radius))
+    return nodes.join(found, nodes["fp"] == found["node"], "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fp) -> (doc_id, fp, component_id): the smallest id of all documents that can be reached through links.
 
     Equal fingerprints are one node, so thousands of copies cost no comparison. Rows without an id take part in linking and are
     never the smallest; a component without any id has a null one.
     """
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    found = components(links(nodes.select("fp"), radius))
-    rooted = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp")
+    nodes = rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), radius)
+    smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
+    return prints.join(nodes.join(smallest, "root").select("fp", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """(doc_id, fingerprint, component_id) per row. Null and empty texts have fingerprint zero and are linked like any other.
 
-    Repeated rows give equal rows. The texts are read once: the fingerprints are checkpointed, 16 bytes a row.
+    Repeated rows give equal rows. The texts are read once: the fingerprints are checkpointed, 24 bytes a row.
     """
     prints = checkpoint(fingerprints(docs, doc_id, text, shingle))
     return groups(prints, radius).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The columns of documents: of each group, the row with the smallest doc_id. Of rows that repeat an id, one stays.
+    """The columns of documents: one row of each component, the first by doc_id (nulls last), then by a hash of the text.
 
-    Rows without an id stay, as nothing tells which to keep.
+    Rows are told apart by id and text together, so of rows that repeat an id only those of the same component go. Of rows that agree in
+    both, one stays. Rows without an id go like others where a row of their component stays.
     """
-    stay = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("stays")).distinct()
-    wide = docs.select(F.col("doc_id").alias("key"), F.struct(*docs.columns).alias("row"))
-    named = wide.where("key is not null").join(stay, F.col("key") == F.col("stays"), "left_semi").dropDuplicates(["key"])
-    return named.unionByName(wide.where("key is null")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+    prints = checkpoint(fingerprints(docs))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "body"))
+    nodes = rooted(prints.groupBy("fp").agg(first.alias("best")))
+    best = nodes.groupBy("root").agg(F.min("best").alias("best"))
+    key = F.xxhash64("doc_id", "body")
+    stay = best.select("best.doc_id", "best.body").select(key.alias("key"), "body").distinct()
+    wide = docs.select(F.col("doc_id"), F.xxhash64("text").alias("body"), F.struct(*docs.columns).alias("row")).select(key.alias("key"), "body", "row")
+    kept = wide.join(stay, ["key", "body"], "left_semi").dropDuplicates(["key", "body"])
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 by_value(__name__)

@@ -92,7 +92,16 @@ def test_encoder_equals_the_tokenizer():
     for _ in range(3000):
         text = "".join(pick.choice(signs) for _ in range(pick.randint(0, 24)))
         if pick.random() < 0.1:
-            text += "<|endoftext|>"
+            text += pick.choice(["<|endoftext|>", " " * 30 + "x", "\n \n\t x", "y" * 500, " " * 500, "\u4f60\u597d" * 5])
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_takes_other_files_whole():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode, tokenizer = packing.Encoder(path), Tokenizer.from_file(path)
+    assert encode.single is None
+    for text in ("Some words, 12 of THEM\n", "", "\u4f60\u597d"):
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -182,8 +191,16 @@ def test_one_of_each_group_stays(spark):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.select("doc_id").collect()]
-    groups = simhash.near_duplicates(samples.documents(spark)).where("doc_id is not null")
-    assert sorted(i for i in ids if i is not None) == sorted({r["component_id"] for r in groups.collect()}) and ids.count(None) == 2
+    groups = simhash.near_duplicates(samples.documents(spark))
+    assert sorted(ids) == sorted({r["component_id"] for r in groups.collect()})  # the rows without an id have components with one
+    assert simhash.one_of_each(samples.empty(spark)).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_told_apart_by_text(spark):
+    a, b = samples.prose(1, 60), samples.prose(2, 60)
+    rows = [(1, a, "en", "s", 1), (5, a, "en", "s", 1), (5, b, "en", "s", 1), (5, b, "en", "s", 1), (None, b, "en", "s", 1), (None, samples.prose(3, 60), "en", "s", 1)]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, samples.DOCS)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, a), (5, b), (0, samples.prose(3, 60))])
 
 
 # ---- quality
@@ -241,11 +258,19 @@ def test_every_line_of_a_block_of_furniture_goes(spark):
 
 def test_a_line_repeated_inside_one_document_is_not_common(spark):
     often = "\n".join(f"{samples.prose(500 + k, 8)}\n{k}" for k in range(15))
-    rows = [(1, often, "en", "h", 1), *((k, samples.prose(600 + k, 30) + f"\n{k}", "en", "h", 1) for k in range(2, 10))]
+    rows = [(1, often, "en", "h", 1), *((k, samples.prose(600 + k, 30) + f"\n{k}", "en", "h", 1) for k in range(2, 5))]
     got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, samples.DOCS)).collect()}
-    assert {r["n_removed_words"] for r in got.values()} == {0}  # nine documents show a number alone
-    more = spark.createDataFrame([*rows, (10, samples.prose(700, 30) + "\n77", "en", "h", 1)], samples.DOCS)
-    assert {r["doc_id"]: r["n_removed_words"] for r in quality.judge(more).collect()} == {1: 15, **{k: 1 for k in range(2, 11)}}
+    assert {r["n_removed_words"] for r in got.values()} == {0}  # four documents show a number alone
+    more = spark.createDataFrame([*rows, (5, samples.prose(700, 30) + "\n77", "en", "h", 1)], samples.DOCS)
+    assert {r["doc_id"]: r["n_removed_words"] for r in quality.judge(more).collect()} == {1: 15, **{k: 1 for k in range(2, 6)}}
+
+
+@pytest.mark.parametrize("often, common", [(9, False), (10, True)])
+def test_the_limit_is_a_share_of_the_hosts_documents(spark, often, common):
+    rows = [(k, samples.prose(900 + k, 12) + ("\nTerms of use" if k < often else ""), "en", "h", 1) for k in range(200)]
+    rows += [(1000 + k, samples.prose(901, 12) + "\nTerms of use", "en", "h", 1) for k in range(50)]  # copies count neither way
+    found = quality.judge(spark.createDataFrame(rows, samples.DOCS)).where("n_removed_words > 0").count()
+    assert found == (often + 50 if common else 0)
 
 
 def test_rows_of_a_host_do_not_raise_the_limit(spark):
