@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 
 from ..functions.shipping import by_value
 from .common import checkpoint, stored, utf8
-from .components import components
+from .components import components, in_tasks
 
 SHINGLE = 5
 #: Sets link from this many percent of their union on.
@@ -43,6 +43,8 @@ SKETCH = 1024
 BLOCK = 4096
 #: Rounds of best partners before all that is left is compared.
 ROUNDS = 6
+#: Postings, pairs or links of one task: these tables are small beside the documents, so tasks follow their rows.
+ROWS_PER_TASK = 200_000
 
 DOC, TOKENS, CHUNK, SHARED, SET = range(5)
 WIRE = "kind int, slot long, chunk long, doc_id {kind}, n long, fp long, a binary, b binary, c binary, d binary, e binary"
@@ -378,19 +380,20 @@ def postings(sets: DataFrame) -> DataFrame:
     return listed.select("token", "fp", "n", (F.col("alone") + F.col("k")).alias("pos"), "alone")
 
 
-def _contested(listed: DataFrame) -> DataFrame:
+def _contested(listed: DataFrame, tasks: int) -> DataFrame:
     """Of postings with comp: the tokens whose lists hold several classes, with the largest class and the numbers of postings."""
-    by_comp = listed.groupBy("token", "comp").agg(F.count("*").alias("k"))
+    by_comp = in_tasks(listed.groupBy("token", "comp").agg(F.count("*").alias("k")), tasks)
     lists = by_comp.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("k"), F.count("*").alias("comps")).where("comps > 1")
-    return lists.select("token", F.col("top.comp").alias("main"), "k", (F.col("k") - F.col("top.k")).alias("rest"))
+    return in_tasks(lists.select("token", F.col("top.comp").alias("main"), "k", (F.col("k") - F.col("top.k")).alias("rest")), tasks)
 
 
-def _led(listed: DataFrame) -> DataFrame:
+def _led(listed: DataFrame, tasks: int) -> DataFrame:
     """Pairs (a, b) of each posting with its list's leader, the set of least hash; one leader wins in most lists of its like."""
     rank = F.struct(F.xxhash64("fp").alias("rank"), F.col("fp").alias("leader"), F.col("n").alias("m"), F.col("pos").alias("other"))
     leaders = listed.groupBy("token").agg(F.min(rank).alias("l"), F.count("*").alias("k")).where("k > 1").select("token", "l.leader", "l.m", "l.other")
     met = listed.join(leaders, "token").where("fp <> leader").where(_possible(F.col("n"), F.col("pos"), F.col("m"), F.col("other")))
-    return met.select(F.col("fp").alias("a"), F.col("leader").alias("b"), F.col("n").alias("na"), F.col("m").alias("nb")).distinct()
+    pairs = in_tasks(met, tasks).select(F.col("fp").alias("a"), F.col("leader").alias("b"), F.col("n").alias("na"), F.col("m").alias("nb"))
+    return in_tasks(pairs.distinct(), tasks)
 
 
 def _compared(best: bool):
@@ -463,23 +466,25 @@ def _compared(best: bool):
     return run
 
 
-def _blocks(listed: DataFrame, sets: DataFrame, best: bool) -> DataFrame:
-    """Pairs (a, b, na, nb) from the contested lists; long lists are cut into blocks, each compared in a group of its own."""
-    parts = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = _contested(listed)
+def _blocks(listed: DataFrame, sets: DataFrame, best: bool, tasks: int) -> DataFrame:
+    """Pairs (a, b, na, nb), a < b, from the contested lists; long lists are cut into blocks, each compared in a group of its own."""
+    lists = _contested(listed, tasks)
     cut = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
     met = listed.join(lists.select("token", "main", cut("k").alias("cuts"), cut("rest").alias("rest_cuts")), "token")
-    met = met.withColumn("is_main", F.col("comp") == F.col("main"))
+    met = in_tasks(met.withColumn("is_main", F.col("comp") == F.col("main")), tasks)
     own = lambda c: F.pmod(F.xxhash64("fp"), F.col(c)).cast("int")
     every = met.withColumn("i", own("cuts")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("rest_cuts") - 1))).withColumn("rest", F.lit(False))
     rest = met.where("not is_main").withColumn("j", own("rest_cuts")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).withColumn("rest", F.lit(True))
     both = every.unionByName(rest).select(F.xxhash64("token", "i", "j").alias("key"), "fp", "n", "pos", "alone", "comp", "rest", F.col("is_main").alias("main"))
-    drawn = both.join(sets.select("fp", "sketch"), "fp")
-    return drawn.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_compared(best), "a long, b long, na long, nb long").distinct()
+    drawn = in_tasks(both.join(sets.select("fp", "sketch"), "fp"), tasks)
+    found = drawn.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(_compared(best), "a long, b long, na long, nb long")
+    turned = F.col("a") > F.col("b")
+    pairs = [F.when(turned, F.col(x)).otherwise(F.col(y)).alias(y) for x, y in (("b", "a"), ("a", "b"), ("nb", "na"), ("na", "nb"))]
+    return in_tasks(found.select(*pairs).distinct(), tasks)
 
 
 def _direct(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs with inter, from the tokens of both, and with what either has beyond the other where they link."""
+    """pairs with inter and linked, from the tokens of both, which stay as ta and tb."""
     mine = sets.select(F.col("fp").alias("a"), F.col("tokens").alias("ta"))
     other = sets.select(F.col("fp").alias("b"), F.col("tokens").alias("tb"))
     inter = F.size(F.array_intersect("ta", "tb")).cast("long")
@@ -487,22 +492,22 @@ def _direct(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.withColumn("linked", _links(F.col("inter"), F.col("na"), F.col("nb")))
 
 
-def _decided(pairs: DataFrame, sets: DataFrame, homes: DataFrame, known: DataFrame) -> DataFrame:
+def _decided(pairs: DataFrame, sets: DataFrame, homes: DataFrame, known: DataFrame, tasks: int) -> DataFrame:
     """pairs (a, b, na, nb) -> (a, b, inter or null, linked): from a's leader's answer about b where there is one, else from the tokens."""
-    led = pairs.join(homes, pairs["a"] == homes["fp"], "left").drop("fp")
-    asked = known.dropDuplicates(["a", "b"]).select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.col("inter").alias("of_leader"))
+    led = in_tasks(pairs.join(homes, pairs["a"] == homes["fp"], "left").drop("fp"), tasks)
+    asked = known.select(F.col("a").alias("ka"), F.col("b").alias("kb"), F.col("inter").alias("of_leader"))
     met = led.join(asked, (led["leader"] == asked["ka"]) & (led["b"] == asked["kb"]), "left").drop("ka", "kb")
     least = F.col("of_leader") - F.size("lacks")
     most = F.col("of_leader") + F.size("adds")
     bound = F.when(_links(least, F.col("na"), F.col("nb")), True).when(~_links(most, F.col("na"), F.col("nb")), False)
-    met = checkpoint(met.withColumn("bound", bound))
+    met = checkpoint(in_tasks(met.withColumn("bound", bound), tasks))
     by_count = met.where("bound is not null").select("a", "b", F.lit(None).cast("long").alias("inter"), F.col("bound").alias("linked"))
     other = sets.select(F.col("fp").alias("b"), F.col("tokens").alias("tb"))
     derived = met.where("bound is null and of_leader is not null").join(other, "b")
     inter = (F.col("of_leader") - F.size(F.array_intersect("lacks", "tb")) + F.size(F.array_intersect("adds", "tb"))).cast("long")
     derived = derived.withColumn("inter", inter).select("a", "b", "inter", _links(F.col("inter"), F.col("na"), F.col("nb")).alias("linked"))
     plain = _direct(met.where("bound is null and of_leader is null").select("a", "b", "na", "nb"), sets).select("a", "b", "inter", "linked")
-    return checkpoint(by_count.unionByName(derived).unionByName(plain))
+    return checkpoint(in_tasks(by_count.unionByName(derived).unionByName(plain), tasks))
 
 
 def _either_way(pairs: DataFrame) -> DataFrame:
@@ -512,21 +517,22 @@ def _either_way(pairs: DataFrame) -> DataFrame:
 def linked(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """sets (fp, n, tokens, sketch), different ones -> (node, root): the smallest fp each can reach; sets without links are not listed."""
     listed = checkpoint(postings(sets))
-    first = _direct(_led(listed), sets)
+    tasks = listed.count() // ROWS_PER_TASK + 1
+    listed = in_tasks(listed, tasks)
+    first = _direct(_led(listed, tasks), sets)
     lacks, adds = F.array_except("tb", "ta"), F.array_except("ta", "tb")
-    slim = checkpoint(first.select("a", "b", "na", "nb", "inter", "linked", F.when(F.col("linked"), lacks).alias("lacks"), F.when(F.col("linked"), adds).alias("adds")))
+    slim = checkpoint(in_tasks(first, tasks).select("a", "b", "na", "nb", "inter", "linked", F.when(F.col("linked"), lacks).alias("lacks"), F.when(F.col("linked"), adds).alias("adds")))
     nearest = F.struct((F.col("inter") / (F.col("na") + F.col("nb") - F.col("inter"))).alias("share"), F.col("b").alias("leader"), "lacks", "adds")
     homes = slim.where("linked").groupBy("a").agg(F.max_by(nearest, F.struct(nearest["share"], nearest["leader"])).alias("h"))
-    homes = checkpoint(homes.select(F.col("a").alias("fp"), "h.leader", "h.lacks", "h.adds"))
+    homes = checkpoint(in_tasks(homes.select(F.col("a").alias("fp"), "h.leader", "h.lacks", "h.adds"), tasks))
     known = _either_way(slim)
     tested = slim.select("a", "b", "linked")
     for turn in range(rounds + 1):
-        roots = components(tested.where("linked").select("a", "b"))
+        roots = components(tested.where("linked").select("a", "b"), ROWS_PER_TASK)
         now = listed.join(roots, listed["fp"] == roots["node"], "left").select("token", "fp", "n", "pos", "alone", F.coalesce("root", "fp").alias("comp"))
-        pairs = _blocks(now, sets, best=turn < rounds)
-        new = pairs.join(tested.select(F.col("a").alias("x"), F.col("b").alias("y")), F.expr("(a = x and b = y)"), "left_anti")
-        new = new.join(tested.select(F.col("b").alias("x"), F.col("a").alias("y")), F.expr("(a = x and b = y)"), "left_anti")
-        found = _decided(new, sets, homes, known)
+        pairs = _blocks(checkpoint(in_tasks(now, tasks)), sets, turn < rounds, tasks)
+        done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        found = _decided(in_tasks(pairs.join(done, ["a", "b"], "left_anti"), tasks), sets, homes, known, tasks)
         grown = found.where("linked").limit(1).count()
         tested = tested.unionByName(found.select("a", "b", "linked"))
         known = known.unionByName(_either_way(found))
@@ -534,7 +540,7 @@ def linked(sets: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             rounds = turn + 1  # no class grows by best partners any more: what is left is compared whole, and that is all
         if turn >= rounds:
             break
-    return components(tested.where("linked").select("a", "b"))
+    return components(tested.where("linked").select("a", "b"), ROWS_PER_TASK)
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
