@@ -1,12 +1,12 @@
 """Walk-forward evaluation: window and margins come from the training years only, the hold-out is scored once with them.
 
-All margins of the grid are scored in one pass over the in-window hours: an hour is expanded only to the margins at which
-it is flagged. Tuning then just reads that small grid.
+All margins of the grid are scored in one pass over the in-window hours, which stay one row per hour and variant: an hour is counted
+at the largest margin that flags it, and what a margin flags is the sum of the counts from it on. Tuning reads the small grid.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from peakledger.functions import clock, names
 from peakledger.functions.events import ZONE
@@ -49,6 +49,29 @@ def in_window_hours(points: DataFrame, window: DataFrame, years: list[int]) -> D
             .join(window, "zone").where(clock.in_window(start, F.col("months"), F.col("he_min"), F.col("he_max"))))
 
 
+def margin_level(estimate: Column, bar: Column) -> Column:
+    """How many margins of the grid, from the smallest, flag the hour: a larger margin flags no hour that a smaller one does not."""
+    return sum((F.coalesce(rule.flagged(estimate, F.lit(m), bar), F.lit(False)).cast("int") for m in GRID), F.lit(0))
+
+
+def _histogram(level: str) -> Column:
+    """Rows at each level from 1 to the length of the grid, as an aggregate."""
+    return F.array(*[F.count_if(F.col(level) == k) for k in range(1, len(GRID) + 1)])
+
+
+def _at_least(histogram: str) -> Column:
+    """Rows at the level of ``_place`` or above: a suffix sum."""
+    above = F.slice(histogram, F.col("_place"), F.lit(len(GRID)))
+    return F.coalesce(F.aggregate(above, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0).cast("bigint"))
+
+
+def _median(values: str) -> Column:
+    """Of a sorted list; null for an empty one."""
+    n = F.size(values)
+    low, high = F.get(values, F.floor((n - 1) / 2).cast("int")), F.get(values, F.floor(n / 2).cast("int"))
+    return F.when(n > 0, (low + high) / 2)
+
+
 def score_grid(points: DataFrame, peaks: DataFrame, window: DataFrame, years: list[int],
                variants=clock.VARIANTS, daily: DataFrame | None = None) -> DataFrame:
     """One row per zone, base_year, variant and margin, zero rows included."""
@@ -64,19 +87,22 @@ def score_grid(points: DataFrame, peaks: DataFrame, window: DataFrame, years: li
              .withColumn("margin", F.explode(F.array(*[F.lit(m) for m in GRID]))))
 
     decided = rule.evidence(rule.every_hour(inside, variants, carry=["months", "he_min", "he_max"]), points, daily)
-    hits = decided.withColumn("margin", F.explode(F.filter(
-        F.array(*[F.lit(m) for m in GRID]), lambda m: rule.flagged(F.col("estimate"), m, F.col("bar")))))
     marks = peaks.select("zone", F.col("peak_hour").alias("candidate_hour"), F.lit(True).alias("is_peak"))
     lead = clock.seconds_between(F.col("decided_at"), F.col("candidate_hour")).cast("double") / 3600
-    # Peaks fall on different days, so a day holds at most one: days first, then the score.
-    days = (hits.join(marks, ["zone", "candidate_hour"], "left")
-            .groupBy("zone", "base_year", "variant", "margin", clock.est_day(F.col("candidate_hour")).alias("day"))
-            .agg(F.count(F.lit(1)).alias("hours"), F.count_if("is_peak").alias("caught"), F.max(F.when(F.col("is_peak"), lead)).alias("lead")))
-    scores = days.groupBy("zone", "base_year", "variant", "margin").agg(
-        F.sum("caught").alias("captured"), F.sum("hours").alias("alert_hours"), F.count(F.lit(1)).alias("alert_days"),
-        F.bround(F.median("lead"), 1).alias("median_lead_hours"))
-    out = cells.join(scores, ["zone", "base_year", "variant", "margin"], "left").na.fill(
-        0, ["captured", "alert_hours", "alert_days"])
+    key = ["zone", "base_year", "variant"]
+    reached = (decided.withColumn("level", margin_level(F.col("estimate"), F.col("bar"))).where("level > 0")
+               .join(marks, ["zone", "candidate_hour"], "left").withColumn("lead", lead))
+    hours_at = reached.groupBy(*key).agg(_histogram("level").alias("hours_at"), F.collect_list(
+        F.when(F.col("is_peak"), F.struct("level", "lead"))).alias("peaks_at"))  # at most PEAKS of them a base period
+    days_at = (reached.groupBy(*key, clock.est_day(F.col("candidate_hour")).alias("day")).agg(F.max("level").alias("level"))
+               .groupBy(*key).agg(_histogram("level").alias("days_at")))
+    place = F.array_position(F.array(*[F.lit(m) for m in GRID]), F.col("margin")).cast("int")
+    out = cells.join(hours_at, key, "left").join(days_at, key, "left").withColumn("_place", place)
+    caught = F.filter("peaks_at", lambda p: p["level"] >= F.col("_place"))
+    out = out.withColumn("_leads", F.sort_array(F.transform(caught, lambda p: p["lead"])))
+    out = out.withColumns({
+        "captured": F.coalesce(F.size("_leads"), F.lit(0)).cast("bigint"), "alert_hours": _at_least("hours_at"), "alert_days": _at_least("days_at"),
+        "median_lead_hours": F.bround(_median("_leads"), 1)}).drop("hours_at", "days_at", "peaks_at", "_place", "_leads")
     chance = F.when(F.col("in_window_hours") > 0, F.bround(
         F.col("peaks_in_window") * F.col("alert_hours") / F.col("in_window_hours"), 2)).otherwise(F.lit(0.0))
     return out.withColumn("chance_captured", chance)

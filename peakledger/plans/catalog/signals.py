@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peakledger.functions import clock
-from peakledger.operators import merge, rule, series
+from peakledger.operators import asof, merge, rule, series
 from peakledger.operators.durable import checkpoint
 from peakledger.plans.catalog.base import BARS, DAILY, HOURS, register
-from peakledger.sources.feeds import demand_hours
+from peakledger.sources.feeds import demand_hours, hour_versions
 
 # The feed's summer and hours; margins low enough that every branch of the rule is met.
 MONTHS, HE_MIN, HE_MAX = [6, 7, 8, 9], 12, 18
@@ -74,6 +74,49 @@ def peak_risk_flags(spark, sf):
         "zone", "variant", "candidate_hour", "decided_at", "estimate", "bar", "margin")
 
 
+VERSIONS = """
+vers AS (
+  SELECT zone, interval_start, CAST(sum(q) OVER (PARTITION BY zone, interval_start ORDER BY stage) AS DOUBLE) AS mw,
+         CAST(interval_start - INTERVAL 5 HOUR AS DATE) AS day,
+         interval_start + CASE stage WHEN 0 THEN INTERVAL 70 MINUTE WHEN 1 THEN INTERVAL 6 HOUR ELSE INTERVAL 73 HOUR END AS known_at
+  FROM (SELECT l_returnflag AS zone, date_trunc('day', l_shipdate) + to_hours(CAST(l_partkey % 9 + 15 AS BIGINT)) AS interval_start,
+               greatest(0, l_linenumber - 5) AS stage, sum(CAST(l_quantity AS DECIMAL(18,2))) AS q FROM lineitem GROUP BY 1, 2, 3)),
+day_peaks AS (
+  SELECT zone, day, since, max(mw) AS peak FROM (
+    SELECT p.zone, p.day, p.since, v.interval_start, arg_max(v.mw, v.known_at) AS mw
+    FROM (SELECT DISTINCT zone, day, known_at AS since FROM vers) p JOIN vers v ON v.zone = p.zone AND v.day = p.day AND v.known_at <= p.since
+    GROUP BY ALL) GROUP BY ALL)"""
+
+
+@register("flags_as_known", f"""WITH {HOURS}, {VERSIONS},
+asked AS (
+  SELECT *, {DECISION} AS decided_at, year(CAST(candidate_hour {MARKET} AS DATE) - INTERVAL 4 MONTH) AS base_year FROM (
+    SELECT zone, interval_start AS candidate_hour, variant, margin FROM points, {VARIANTS_SQL}) WHERE variant <> 'oracle' AND {INSIDE}),
+guesses AS (
+  SELECT a.zone, a.variant, a.candidate_hour, arg_max(v.mw, v.known_at) AS estimate
+  FROM asked a JOIN vers v ON v.zone = a.zone AND v.known_at <= a.decided_at
+       AND v.interval_start = a.candidate_hour - CASE variant WHEN 'persist2' THEN INTERVAL 2 HOUR ELSE INTERVAL 4 HOUR END
+  WHERE variant <> 'day_ahead' GROUP BY ALL
+  UNION ALL
+  SELECT a.zone, a.variant, a.candidate_hour, arg_max(d.peak, d.since)
+  FROM asked a JOIN day_peaks d ON d.zone = a.zone AND d.day = CAST(a.candidate_hour {MARKET} AS DATE) - 1 AND d.since <= a.decided_at
+  WHERE variant = 'day_ahead' GROUP BY ALL),
+known_bars AS (
+  SELECT zone, base_year, decided_at, list_reverse_sort(list(peak))[5] AS bar FROM (
+    SELECT q.zone, q.base_year, q.decided_at, d.day, arg_max(d.peak, d.since) AS peak
+    FROM (SELECT DISTINCT zone, base_year, decided_at, CAST(decided_at - INTERVAL 15 MINUTE {MARKET} AS DATE) AS eff_day FROM asked) q
+    JOIN day_peaks d ON d.zone = q.zone AND year(d.day - INTERVAL 4 MONTH) = q.base_year AND d.day < q.eff_day AND d.since <= q.decided_at
+    GROUP BY ALL) GROUP BY ALL)
+SELECT a.zone, a.variant, a.candidate_hour, a.decided_at, estimate, bar, margin
+FROM asked a JOIN guesses USING (zone, variant, candidate_hour) JOIN known_bars b ON b.zone = a.zone AND b.base_year = a.base_year AND b.decided_at = a.decided_at
+WHERE estimate >= margin * bar""")
+def flags_as_known(spark, sf):
+    """As peak_risk_flags, with every value as it was known when the decision was taken, before it was restated."""
+    asked = _windowed(rule.every_hour(demand_hours(spark, sf), clock.LIVE_VARIANTS))
+    return asof.decide_as_known(asked, checkpoint(hour_versions(spark, sf))).where("risk").select(
+        "zone", "variant", "candidate_hour", "decided_at", "estimate", "bar", "margin")
+
+
 @register("flag_reasons", f"""{RULE}
 SELECT zone, variant, {REASON_KIND} AS kind, count(*) AS decisions,
        min(CASE WHEN NOT in_window THEN 'outside the plausible peak window'

@@ -5,7 +5,7 @@ Each feed is a projection or one aggregate of a table, so its size and the work
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from peakledger.functions import clock, events, names
 from peakledger.functions.events import ZONE
@@ -28,6 +28,23 @@ def demand_hours(spark: SparkSession, sf_dir: str, by_zone: bool = True) -> Data
             .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("mw")))
 
 
+def hour_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hours of ``demand_hours`` as they became known: zone, interval_start, version, known_at, mw.
+
+    Most of an hour is published ten minutes after its end; a sixth and a seventh line of an order are added five hours and three days
+    after it, each as a version that restates the hour.
+    """
+    items = table(spark, sf_dir, "lineitem")
+    start = clock.hour_ending_to_utc(F.col("l_shipdate").cast("date"), (F.col("l_partkey") % 9 + 11).cast("int"))
+    version = F.greatest(F.lit(0), F.col("l_linenumber") - 5).cast("bigint")
+    parts = items.groupBy(F.col("l_returnflag").alias("zone"), start.alias("interval_start"), version.alias("version")).agg(
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("part"))
+    so_far = Window.partitionBy("zone", "interval_start").orderBy("version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = F.when(F.col("version") == 0, clock.minutes(70)).when(F.col("version") == 1, clock.minutes(360)).otherwise(clock.minutes(73 * 60))
+    return parts.select("zone", "interval_start", "version", (F.col("interval_start") + later).alias("known_at"),
+                        F.sum("part").over(so_far).cast("double").alias("mw"))
+
+
 def _report(key: Column) -> Column:
     return F.element_at(F.array(*[F.lit(r) for r in REPORTS]), (key % 3 + 1).cast("int"))
 
