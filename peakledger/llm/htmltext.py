@@ -26,7 +26,8 @@ OUTSIDE_COST = 40.0
 #: The most that a tag inside a line may cost; two of them must not outweigh the word between.
 INLINE_COST = 0.4
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.DOTALL)
+NAME = re.compile(r"(/?)([A-Za-z][A-Za-z0-9:-]*)")
+QUOTE_OR_END = re.compile(r"[>\"']")
 MARKED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PIECES = re.compile(r"[a-z]+")
 RAW = frozenset("script style noscript template title textarea svg math iframe object select".split())
@@ -42,22 +43,55 @@ ASIDE_NAMES = frozenset("""ad ads advert advertisement advertising banner breadc
 CONTENT = ("article", "main")
 
 
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag's > stands, past quoted values; a tag whose quotes swallow the rest of the page ends at its first >."""
+    pos = at
+    while found := QUOTE_OR_END.search(page, pos):
+        if found[0] == ">":
+            return found.start()
+        pos = page.find(found[0], found.end()) + 1
+        if not pos:
+            break
+    return page.find(">", at)
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, name, rest): open and close tags with attributes, texts; comments, declarations and raw elements are passed over."""
-    at = 0
-    while found := TOKEN.match(page, at):
-        at, whole = found.end(), found[0]
-        name = (found[2] or "").lower()
-        if not name:
-            if whole[0] != "<" or whole == "<":
-                yield "text", "", whole
-        elif found[1]:
-            yield "close", name, ""
-        elif name in RAW and not found[3].rstrip().endswith("/"):
-            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
-            at = end.end() if end else len(page)
+    """(kind, name, rest): open and close tags with attributes, texts; comments, declarations and raw elements are passed over.
+
+    The page is read once: what follows its last > holds no tag.
+    """
+    at, last = 0, page.rfind(">")
+    while at < len(page):
+        start = page.find("<", at)
+        if start < 0:
+            start = len(page)
+        if page.startswith("<!--", start):
+            if start > at:
+                yield "text", "", page[at:start]
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        if start > last:
+            yield "text", "", page[at:]
+            return
+        if start > at:
+            yield "text", "", page[at:start]
+        found = NAME.match(page, start + 1)
+        if page[start + 1] in "!?":
+            at = page.find(">", start) + 1
+        elif not found:
+            yield "text", "", "<"
+            at = start + 1
         else:
-            yield "open", name, found[3]
+            end, name = _tag_end(page, found.end()), found[2].lower()
+            rest, at = page[found.end():end], end + 1
+            if found[1]:
+                yield "close", name, ""
+            elif name in RAW and not rest.rstrip().endswith("/"):
+                close = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
+                at = close.end() if close else len(page)
+            else:
+                yield "open", name, rest
 
 
 def names_of(rest: str) -> set[str]:
@@ -70,21 +104,34 @@ def feature(kind: str, name: str, rest: str) -> str:
 
 
 def without_asides(found: list[tuple[str, str, str]]) -> list[tuple[str, str, str] | None]:
-    """None in place of what stands in a closed element that is no article text; an unclosed one loses only its tag."""
+    """None in place of what stands in a closed element that is no article text; an unclosed one loses only its tag.
+
+    An element that holds the page's article or main element stays, whatever it is called; where the page has none, so does one that
+    holds half of the page's words or more.
+    """
     out: list = list(found)
     ends: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    for k, (kind, name, _) in enumerate(found):
+    words, contents = [0], [0]
+    for k, (kind, name, rest) in enumerate(found):
+        words.append(words[-1] + (len(rest.split()) if kind == "text" else 0))
+        contents.append(contents[-1] + (kind == "open" and name in CONTENT))
         if kind == "open" and name not in VOID:
             opened.setdefault(name, []).append(k)
         elif kind == "close" and opened.get(name):
             ends[opened[name].pop()] = k
+
+    def holds_the_text(k: int) -> bool:
+        if contents[-1]:
+            return contents[ends[k]] > contents[k + 1]
+        return 2 * (words[ends[k]] - words[k]) >= words[-1] > 0
+
     k, within = 0, 0
     while k < len(found):
         kind, name, rest = found[k]
         within += (kind == "open" and name in CONTENT) - (kind == "close" and name in CONTENT and within > 0)
         aside = kind == "open" and (name in ASIDE or name == "header" and not within or name not in (*CONTENT, "body", "html") and names_of(rest) & ASIDE_NAMES)
-        if aside and k in ends:
+        if aside and k in ends and not holds_the_text(k):
             for j in range(k + 1, ends[k]):
                 out[j] = None
             k = ends[k]
@@ -133,27 +180,36 @@ def _unseen(kind: str, name: str, rest: str) -> float:
     return cost(0.05)
 
 
-def main_text(page: str | None, costs: dict[str, float]) -> str:
-    """Blocks of the best run, one a line; empty for null or empty pages and pages without words."""
-    if not page:
-        return ""
-    found = list(tokens(page))
-    shown = without_asides(found)
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """(begin, end) of the contiguous run with the largest sum, by one scan; (0, 0) where no sum is above zero."""
     best, total, begin, span = 0.0, 0.0, 0, (0, 0)
-    for k, token in enumerate(shown):
-        if token is None:
-            continue
-        kind, name, rest = token
-        if kind == "text":
-            total += len(rest.split())
-        else:
-            f = feature(kind, name, rest)
-            price = costs[f] if f in costs and name not in CONTENT else _unseen(kind, name, rest)
-            total -= min(price, INLINE_COST) if name in INLINE else price
+    for k, score in enumerate(scores):
+        total += score
         if total <= 0:
             total, begin = 0.0, k + 1
         elif total > best:
             best, span = total, (begin, k + 1)
+    return span
+
+
+def score(token: tuple[str, str, str] | None, costs: dict[str, float]) -> float:
+    """A text's words, or less the tag's cost; what was taken out counts nothing."""
+    if token is None:
+        return 0.0
+    kind, name, rest = token
+    if kind == "text":
+        return float(len(rest.split()))
+    f = feature(kind, name, rest)
+    price = costs[f] if f in costs and name not in CONTENT else _unseen(kind, name, rest)
+    return -min(price, INLINE_COST) if name in INLINE else -price
+
+
+def main_text(page: str | None, costs: dict[str, float]) -> str:
+    """Blocks of the best run, one a line; empty for null or empty pages and pages without words."""
+    if not page:
+        return ""
+    shown = without_asides(list(tokens(page)))
+    span = best_run([score(t, costs) for t in shown])
     blocks: list[list[str]] = [[]]
     for token in shown[slice(*span)]:
         if token is None:

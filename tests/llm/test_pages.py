@@ -103,3 +103,54 @@ def test_unclosed_and_cut_pages():
     assert htmltext.main_text("<p>One two three<p>four five <b>six", {}) == "One two three\nfour five six"
     assert htmltext.main_text("<p>some words here &eacute;&#233; &unknown; &am", {}) == "some words here \u00e9\u00e9 &unknown; &am"
     assert len(htmltext.main_text("<p>" + "word " * 100_000, {}).split()) == 100_000
+
+
+WORDS = " ".join(f"word{k}" for k in range(200))
+
+
+@pytest.mark.parametrize("page", ['<div class="site has-sidebar"><article><p>{}</p></article></div>', '<form id="aspnetForm"><article><p>{}</p></article></form>',
+                                  '<div class="post comments-open"><p>{}</p></div>', '<div id="social-policy"><p>{}</p></div>',
+                                  '<nav>one two</nav><div class="share-page"><h1>Head</h1><p>{}</p></div><footer>three</footer>'])
+def test_wrappers_do_not_take_the_article_with_them(page):
+    text = htmltext.main_text(f"<html><body>{page.format(WORDS)}</body></html>", {})
+    assert WORDS in text and "one two" not in text and "three" not in text
+
+
+def test_comments_go_though_they_are_longer():
+    text = htmltext.main_text(f"<article><p>{WORDS}</p></article><div class='comments'><p>{'no ' * 900}</p></div>", {})
+    assert text == WORDS
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<a "' * 250_000 + ">", "<a '" * 250_001 + ">", "<" * 1_000_000, "<!--" * 250_000, "<a \"\" '' " * 80_000 + ">", "<script>" * 100_000, "<p><!x " * 150_000])
+def test_a_megabyte_of_broken_tags_is_read_once(page):
+    import time
+    begun = time.process_time()
+    htmltext.main_text(page, {})
+    assert time.process_time() - begun < 5
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_best_run_is_the_largest_of_all_runs(seed):
+    import random
+    pick = random.Random(seed)
+    scores = [pick.choice([0.0, 1.0, 3.0, -0.5, -2.0, -7.0]) for _ in range(pick.randrange(40))]
+    begin, end = htmltext.best_run(scores)
+    sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+    assert sum(scores[begin:end]) == max([0.0, *sums]) and begin <= end
+
+
+def test_random_pages_give_their_best_run():
+    """Pages of plain blocks: what is written is the text of the tokens whose sum is the largest of all runs."""
+    import random
+    for seed in range(60):
+        pick = random.Random(seed)
+        page = "".join(pick.choice(["<p>", "</p>", "<div>", "</div>", "one two three ", "four ", "<span>", "</span>", "<li>"]) for _ in range(pick.randrange(1, 25)))
+        costs = {t: pick.choice([0.02, 1.5, 4.0]) for t in ("p", "/p", "div", "/div", "li")}
+        found = list(htmltext.tokens(page))
+        scores = [htmltext.score(t, costs) for t in found]
+        best = max((sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=0)
+        got = htmltext.main_text(page, costs)
+        assert (got == "") == (best <= 0)
+        begin, end = htmltext.best_run(scores)
+        assert abs(sum(scores[begin:end]) - max(best, 0)) < 1e-9
+        assert got.split() == " ".join(t[2] for t in found[begin:end] if t[0] == "text").split() or "<span>" in page
