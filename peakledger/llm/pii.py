@@ -31,6 +31,22 @@ ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){7,16}(?![A-Za-z0-9])")
 SOCIAL = re.compile(r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 CUES = {"iban": "account", "account": "account", "acct": "account", "konto": "account", "cuenta": "account", "compte": "account", "ssn": "ssn"}
 
+YEARS = range(1900, 2100)
+
+
+def dated(text: str) -> bool:
+    """Whether digits in groups are a date or years and no number of an account: 2024-01-15, 15 01 2024, 20240115, 2020-2021."""
+    groups = [int(g) for g in re.split(r"[\x20-]", text)]
+    if len(groups) == 1 and len(text) == 8:
+        groups = [int(text[:4]), int(text[4:6]), int(text[6:])]
+    if all(g in YEARS for g in groups):
+        return True
+    if len(groups) != 3:
+        return False
+    year, month, day = groups if groups[0] in YEARS else groups[::-1]
+    return year in YEARS and (1 <= month <= 12 and 1 <= day <= 31 or 1 <= day <= 12 and 1 <= month <= 31)
+
+
 Parser = Callable[[str, int, int], tuple[int, int, bool] | None]
 
 
@@ -77,7 +93,7 @@ def _account(text: str, at: int, free: int) -> tuple[int, int, bool] | None:
         if 15 <= len(code) <= 34 and int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
             return found.start(), found.end(), found.start() >= free
     found = ACCOUNT.match(text, gap.end())
-    return (found.start(), found.end(), found.start() >= free) if found else None
+    return (found.start(), found.end(), found.start() >= free and not dated(found[0])) if found else None
 
 
 def _ssn(text: str, at: int, free: int) -> tuple[int, int, bool] | None:

@@ -376,6 +376,9 @@ def test_added_kinds():
     spans = lambda t: [(k, t[a:b]) for k, a, b in pii.spans_of(t)]
     assert spans("IBAN: GB82 WEST 1234 5698 7654 32 thanks") == [("account", "GB82 WEST 1234 5698 7654 32")]
     assert spans("IBAN: GB82 WEST 1234 5698 7654 33") == []
+    for calm in ("account: 2024-01-15", "account 2020-2021", "acct no 2020 2021 2022", "account 15-01-2024", "Konto 20240115"):
+        assert spans(calm) == []
+    assert spans("acct no 2020 4455 1234") == [("account", "2020 4455 1234")] and spans("account: 99887766") == [("account", "99887766")]
     assert spans("ssn 123-45-6789, ssn 000-45-6789") == [("ssn", "123-45-6789")]
     assert ("login", "ann:pw") in spans("ftp://ann:pw@host.example/x") and spans(None) == spans("") == []
     assert pii.masked("mail a.b@c.example now") == "mail [EMAIL] now" and pii.masked(None) is None
