@@ -38,8 +38,10 @@ def parents(host: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """From (verdict, host, path) to the columns that judge() reads."""
-    return spark.createDataFrame(rules, "verdict string, host string, path string")
+    """From (verdict, host, path) to the columns that judge() reads, without a Python worker."""
+    rows = [F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in rules]
+    listed = F.array(*rows).cast("array<struct<verdict: string, host: string, path: string>>")
+    return spark.range(1).select(F.inline(listed))
 
 
 def interval_ends(rules: DataFrame) -> DataFrame:
