@@ -60,9 +60,9 @@ members AS (SELECT x.doc_id, x.n_shingles, sets.doc_id AS rep FROM (SELECT doc_i
 tokens AS (SELECT doc_id, n, unnest(s) AS t FROM sets),
 links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
     HAVING 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
-reach AS (SELECT a AS start, a AS at FROM links UNION SELECT reach.start, links.b FROM reach JOIN links ON links.a = reach.at),
-least AS (SELECT start, min(at) AS least FROM reach GROUP BY start)
-SELECT doc_id, n_shingles, coalesce(least, rep, doc_id) AS component_id FROM members LEFT JOIN least ON start = rep
+reach AS (SELECT a AS origin, a AS node FROM links UNION SELECT reach.origin, links.b FROM reach JOIN links ON links.a = reach.node),
+lowest AS (SELECT origin, min(node) AS lowest FROM reach GROUP BY origin)
+SELECT doc_id, CAST(n_shingles AS BIGINT) AS n_shingles, coalesce(lowest, rep, doc_id) AS component_id FROM members LEFT JOIN lowest ON origin = rep
 """
 
 SQL = {"op4_quality": QUALITY, "op7_warc": WARC, "op9_url_rules": URLS, "op12_jaccard_classes": CLASSES}
