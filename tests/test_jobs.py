@@ -4,6 +4,7 @@ import json
 import random
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from peakledger.functions import events
@@ -113,7 +114,36 @@ def test_a_replay_is_cut_into_batches_of_bounded_size(spark, tmp_path, monkeypat
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
 
 
-def test_stateful_stream_equals_its_batch_twin(spark, tmp_path):
+@pytest.fixture
+def typed_state(spark):
+    before = spark.conf.get(stateful.STORE[0])
+    spark.conf.set(*stateful.STORE)
+    yield
+    spark.conf.set(stateful.STORE[0], before)
+
+
+def test_stateful_stream_goes_on_where_a_table_left_off(spark, tmp_path, typed_state):
+    rng, t0 = random.Random(2), datetime(2026, 9, 28, 12)
+    schema = ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
+              "ingested_at timestamp_ntz, source_uri string")
+    rows = [("RealtimeTotals", t0 + timedelta(minutes=5 * rng.randint(0, 4)), "ONTARIO", rng.randint(1, 6), float(rng.randint(1, 3)), t0,
+             t0 + timedelta(minutes=m), f"f{m}") for m in range(90)]
+    early, late = spark.createDataFrame(rows[:50], schema), spark.createDataFrame(rows[50:], schema)
+    changes.moved_state(changes.news_in_arrival_order(early)).write.parquet(str(tmp_path / "state"))
+    state = spark.read.parquet(str(tmp_path / "state"))
+    for i in range(2):
+        spark.createDataFrame(rows[50 + 20 * i:70 + 20 * i], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = (stateful.news_stream(stream, state).writeStream.outputMode("append").format("memory").queryName("seeded_news")
+             .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    columns = ["interval_start", "version", "value_mw", "ingested_at", "state_version", "state_value"]
+    pick = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
+    got = pick(spark.table("seeded_news"))
+    assert got == pick(changes.news_in_arrival_order(late, state)) and len(got) < len(pick(changes.news_in_arrival_order(late)))
+
+
+def test_stateful_stream_equals_its_batch_twin(spark, tmp_path, typed_state):
     rng = random.Random(1)
     schema = ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
               "ingested_at timestamp_ntz, source_uri string")
