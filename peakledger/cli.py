@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from peakledger.operators import merge, metrics, quality
 from peakledger.plans import backtest, ingest, reconciliation, replay
 from peakledger.sources import files
-from peakledger.streaming import consumer, evaluator, producer
+from peakledger.streaming import consumer, counters, evaluator, producer
 from peakledger.streaming.evaluator import utc_now
 from peakledger.streaming.warehouse import CURRENT, RAW, SIGNALS, Warehouse
 
@@ -32,10 +32,10 @@ def produce(spark, a):
     """Send what is new in the files. --always keeps following the folder."""
     house = Warehouse(spark, a.house)
     if a.always:
-        producer.run(spark, a.files, house, a.topics, a.checkpoint, a.mode, always=True).awaitTermination()
+        producer.run(spark, a.files, house, a.topics, a.checkpoint, a.mode, always=True, metrics=a.metrics).awaitTermination()
         return 0
     now = utc_now()
-    out = ingest.run(files.list_files(spark, a.files), house, a.topics, a.mode, now, f"{a.mode}-{now:%Y%m%dT%H%M%S%f}")
+    out = ingest.run(files.list_files(spark, a.files), house, a.topics, a.mode, now, f"{a.mode}-{now:%Y%m%dT%H%M%S%f}", metrics=a.metrics)
     print(json.dumps({"events_produced": out["events_produced"], "events_deduplicated": out["events_deduplicated"],
                       **{f"{report}.{outcome}": n for (report, outcome), n in sorted(out["files"].items())}}))
     return 0
@@ -47,6 +47,13 @@ def consume(spark, a):
     query.awaitTermination()
 
 
+def health(spark, a):
+    """Counters of all jobs, and the age, speed and batch times of each."""
+    counted = counters.rows(spark, a.metrics)
+    show(counters.totals(counted).orderBy("source", "report"))
+    show(counters.health(counted, F.lit(utc_now()).cast("timestamp_ntz")).orderBy("source"))
+
+
 def check(spark, a):
     """The quality suite; violations make the command fail."""
     house = Warehouse(spark, a.house)
@@ -123,7 +130,7 @@ def loadtest(spark, a):
 
 COMMANDS = {
     "produce": (produce, ["files", "house", "topics"]), "consume": (consume, ["topics", "house", "checkpoint", "quarantine"]),
-    "check": (check, ["house"]), "summary": (summary, ["house"]), "runs": (runs, ["house"]), "signals": (signals, ["house"]),
+    "health": (health, ["metrics"]), "check": (check, ["house"]), "summary": (summary, ["house"]), "runs": (runs, ["house"]), "signals": (signals, ["house"]),
     "reset": (reset, ["house"]), "seed": (seed, ["files", "house", "cutoff"]),
     "reconcile": (reconcile, ["files", "house", "topics", "checkpoint", "quarantine", "start", "end"]), "archive": (archive, ["files", "archive"]),
     "backtest": (run_backtest, ["files", "results"]), "replay": (run_replay, ["files", "results", "day"]),

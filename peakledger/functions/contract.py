@@ -53,10 +53,12 @@ def check(messages: DataFrame, payload: str = "value") -> DataFrame:
     return signed.withColumn("violations", F.array_except(broken, F.array(F.lit(None).cast("string")))).drop("_signed")
 
 
+def field(name: str) -> Column:
+    """A typed field of a checked message."""
+    value = F.try_variant_get(F.try_element_at("fields", F.lit(name)), "$", TYPES.get(name, "string"))
+    return clock.parse_iso(value) if name in INSTANTS else value
+
+
 def decode(checked: DataFrame) -> DataFrame:
     """Typed event columns of the good messages."""
-    columns = []
-    for name in list(FIELDS)[1:]:
-        value = F.try_variant_get(F.try_element_at("fields", F.lit(name)), "$", TYPES.get(name, "string"))
-        columns.append((clock.parse_iso(value) if name in INSTANTS else value).alias(name))
-    return checked.where(F.size("violations") == 0).select(*columns)
+    return checked.where(F.size("violations") == 0).select(*[field(name).alias(name) for name in list(FIELDS)[1:]])

@@ -5,11 +5,11 @@ from __future__ import annotations
 import hashlib
 import time
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from peakledger.functions import contract
-from peakledger.streaming import topics
-from peakledger.streaming.warehouse import Warehouse
+from peakledger.streaming import counters, topics
+from peakledger.streaming.warehouse import Warehouse, utc_now
 
 FLUSH_SECONDS = 60  # fixed value: how often a live batch is written
 
@@ -24,27 +24,22 @@ class Consumer:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         begun = time.monotonic()
         checked = topics.judged(batch).persist()
+        whole = F.size("violations") == 0
+        # Counted by the write below, whose tasks count once each, however often they are tried.
+        seen = Observation()
+        counted = checked.observe(seen, F.count_if(~whole).alias("events_invalid"), F.count_if(whole).alias("events_written"),
+                                  F.max(F.when(whole, contract.field("published_at"))).alias("newest_published"))
         try:
-            bad = checked.where(F.size("violations") > 0)
             # the same folder on every try of this batch, another one in a replay from another checkpoint
-            (bad.select("key", "value", "topic", "violations").write.mode("overwrite")
+            (counted.where(~whole).select("key", "value", "topic", "violations").write.mode("overwrite")
              .parquet(f"{self.quarantine}/source={self.name}/run={self.attempt}/batch={batch_id}"))
-            good = contract.decode(checked)
-            self.warehouse.write_batch(good)
+            self.warehouse.write_batch(contract.decode(checked))
             if self.metrics:
-                self._measure(checked, good, batch_id, time.monotonic() - begun)
+                timed = {"batch_seconds": round(time.monotonic() - begun, 3), "measured_at": utc_now()}
+                counters.record(batch.sparkSession, self.metrics, self.name, self.attempt, batch_id, [seen.get | timed])
         finally:
             checked.unpersist()
 
-    def _measure(self, checked: DataFrame, good: DataFrame, batch_id: int, seconds: float) -> None:
-        """One row per batch: counters and the newest publication, for freshness and throughput."""
-        counts = checked.agg(F.count_if(F.size("violations") > 0).alias("events_invalid"),
-                             F.count_if(F.size("violations") == 0).alias("events_written"))
-        newest = good.agg(F.max("published_at").alias("newest")).select("newest").scalar()
-        row = counts.select(F.lit(self.name).alias("source"), F.lit(batch_id).alias("batch_id"), "events_written", "events_invalid",
-                            newest.alias("newest_published"), F.lit(round(seconds, 3)).alias("batch_seconds"))
-        row.write.mode("overwrite").json(f"{self.metrics}/source={self.name}/run={self.attempt}/batch={batch_id}")
-
 
 def run(spark: SparkSession, topic_root: str, warehouse: Warehouse, checkpoint: str, quarantine: str, name: str = "demand",
         live: bool = False, files_per_batch: int | None = None, metrics: str | None = None, kafka: dict | None = None):

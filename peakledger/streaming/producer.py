@@ -25,10 +25,11 @@ def file_stream(spark: SparkSession, root: str, files_per_batch: int | None = No
 
 
 def run(spark: SparkSession, root: str, warehouse: Warehouse, topic_root: str, checkpoint: str, reason: str = "live",
-        name: str = "producer", always: bool = False, files_per_batch: int | None = None, now=utc_now):
+        name: str = "producer", always: bool = False, files_per_batch: int | None = None, now=utc_now,
+        metrics: str | None = None):
     """Live and backfill are the same job; the reason tells them apart."""
     def send(batch: DataFrame, batch_id: int) -> None:
-        ingest.deliver(batch, warehouse, topic_root, reason, now(), f"{name}-{batch_id}")
+        ingest.deliver(batch, warehouse, topic_root, reason, now(), f"{name}-{batch_id}", metrics=metrics)
 
     trigger = {"processingTime": "10 minutes"} if always else {"availableNow": True}
     return (file_stream(spark, root, files_per_batch).writeStream.queryName(name).foreachBatch(send)
