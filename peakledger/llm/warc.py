@@ -15,6 +15,7 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -33,14 +34,16 @@ EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00\x00\x00\x00\x0
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def record_bytes(kind: str, url: str, page: str, payload: bytes, size: int, digest: str, refers_to: str | None) -> bytes:
+def record_bytes(kind: str, url: str, page: str | None, payload: bytes, size: int, digest: str, refers_to: str | None) -> bytes:
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http + payload if kind == "response" else http
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page} {url}')}>", "WARC-Date: 1970-01-01T00:00:00Z",
-            f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Page-ID: {page}", f"X-Payload-Length: {size}",
+            f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}",
             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
+    if page is not None:
+        head.append(f"X-Page-ID: {quote(page, safe='')}")
     if refers_to is not None:
-        head += [f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {refers_to}"]
+        head += [f"WARC-Profile: {PROFILE}", f"X-Refers-To-Page-ID: {quote(refers_to, safe='')}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -63,7 +66,7 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
     """One record per page: response, or revisit of the smallest page with the same payload of at least MIN_REVISIT bytes.
 
     A null html is an empty payload; a null url is written as an empty target. Pages that repeat the id of the stored one are
-    responses too. Line ends in urls become spaces.
+    responses too. Line ends in urls become spaces. Ids are percent-encoded; a null id has no header.
     """
     raw = utf8(html)
     # Only digests travel in the join; they are few, as only payloads that occur more than once are listed.
@@ -78,7 +81,8 @@ def write(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "u
             columns = [batch.column(c) for c in ("page", "url", "payload", "digest", "refers_to", "revisit")]
             for page, target, payload, digest, first, again in zip(*columns):
                 body, again = payload.as_py(), again.as_py()
-                record = record_bytes("revisit" if again else "response", target.as_py(), str(page.as_py()), body, len(body), digest.as_py(), str(first.as_py()) if again else None)
+                named = str(page.as_py()) if page.is_valid else None
+                record = record_bytes("revisit" if again else "response", target.as_py(), named, body, len(body), digest.as_py(), str(first.as_py()) if again else None)
                 rows.append(member(record, level)[:-1])
                 held += len(rows[-1])
                 if held > BATCH_BYTES:
@@ -114,11 +118,12 @@ def parse(record: bytes) -> dict:
     block = rest[:int(fields["Content-Length"])]
     payload = block.partition(b"\r\n\r\n")[2]
     revisit = fields["WARC-Type"] == "revisit"
+    page, first = (None if v is None else unquote(v) for v in (fields.get("X-Page-ID"), fields.get("X-Refers-To-Page-ID")))
     digest = fields["WARC-Payload-Digest"].partition(":")[2]
     if not revisit and hashlib.sha256(payload).hexdigest() != digest:
-        raise ValueError(f"damaged record of page {fields['X-Page-ID']}")
-    return {"page_id": fields["X-Page-ID"], "url": fields["WARC-Target-URI"], "record_type": fields["WARC-Type"], "payload": None if revisit else payload,
-            "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": digest, "refers_to": fields.get("X-Refers-To-Page-ID")}
+        raise ValueError(f"damaged record of page {page}")
+    return {"page_id": page, "url": fields["WARC-Target-URI"], "record_type": fields["WARC-Type"], "payload": None if revisit else payload,
+            "payload_bytes": int(fields["X-Payload-Length"]), "payload_digest": digest, "refers_to": first}
 
 
 FIELDS = "page_id string, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to string"
@@ -230,8 +235,8 @@ def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     write(pages, folder, page_id, url, html)
     kind = pages.schema[page_id].dataType
     back = read(spark, folder)
-    number = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind).alias(c)
-    return back.select(number("page_id"), "url", "record_type", "payload", "payload_bytes", "payload_digest", number("refers_to"))
+    typed = lambda c: F.col(c).cast(kind).alias(c)
+    return back.select(typed("page_id"), "url", "record_type", "payload", "payload_bytes", "payload_digest", typed("refers_to"))
 
 
 by_value(__name__)

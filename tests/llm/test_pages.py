@@ -31,6 +31,14 @@ def test_archive_round_trip(spark):
     assert warc.round_trip(pages(spark).limit(0)).count() == 0
 
 
+def test_ids_of_any_text_come_back(spark):
+    ids = ["None", "a\r\nContent-Length: 3", "", " x ", "100%41", "\u00e9\u4f60", None]
+    body = "<p>" + "word " * 50 + "</p>"
+    got = warc.round_trip(spark.createDataFrame([(k, "u", body) for k in ids], "page_id string, url string, html string")).collect()
+    assert sorted((str(r["page_id"]), r["page_id"] is None) for r in got) == sorted((str(k), k is None) for k in ids)
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {""} and sum(r["record_type"] == "revisit" for r in got) == 5
+
+
 def test_small_ranges_and_false_magic(spark, tmp_path):
     """Members that hold the gzip magic in their data, read in ranges smaller than a member."""
     noise = random.Random(1)
