@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from peakledger.functions import clock
-from peakledger.operators import changes, metrics
+from peakledger.operators import changes, metrics, sketches
 from peakledger.plans.catalog.base import EVENTS, SAMPLES, ratio_sql, register
 from peakledger.plans.catalog.tables import COARSE, in_steps
 from peakledger.sources.feeds import load_samples, metric_samples, offsets, table, versioned_events
@@ -108,6 +108,20 @@ def health_rollup(spark, sf):
     return metrics.health_rollup(metric_samples(spark, sf))
 
 
+@register("health_by_day", f"""WITH {SAMPLES}
+SELECT service, date_trunc('day', ts)::TIMESTAMP AS period, count(*) AS samples, max(value) AS highest,
+       CAST(sum(CAST(value AS DECIMAL(24,6))) AS DOUBLE) AS total, count(*) / 86400.0::DOUBLE AS per_second, true AS p95_close
+FROM samples GROUP BY 1, 2""")
+def health_by_day(spark, sf):
+    """Minutes rolled up to hours and days; ``p95_close`` says that the sketch's percentile is within 1 % of the samples of the exact one."""
+    samples = metric_samples(spark, sf)
+    out = sketches.figures(sketches.days(sketches.hours(sketches.per_minute(samples))), 86_400)
+    bounds = sketches.rank_bounds(samples, out, F.col("ts").cast("date").cast("timestamp_ntz"))
+    close = (F.col("below") <= metrics.P95 + 0.01) & (F.col("up_to") >= metrics.P95 - 0.01)
+    return out.join(bounds.select("service", "period", close.alias("p95_close")), ["service", "period"]).select(
+        "service", "period", "samples", "highest", "total", "per_second", "p95_close")
+
+
 @register("publication_lag", """
 SELECT event_type AS report, count(*) AS n, median(CAST(floor(value) AS BIGINT)) AS median_minutes,
        count(*) FILTER (WHERE floor(value) <= 20) / count(*)::DOUBLE AS share_within FROM events GROUP BY 1""")

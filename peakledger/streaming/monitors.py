@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from peakledger.functions import clock
-from peakledger.operators import metrics
+from peakledger.operators import metrics, sketches
 
 #: Samples may come this much after later ones and still count.
 LATE = "2 minutes"
@@ -57,3 +57,9 @@ def lag_alerts(lags: DataFrame, threshold: float = metrics.LAG_EVENTS, width: in
     latest = _timed(lags, late).groupBy("service", "partition", minute).agg(F.max_by("value", F.struct("ts", "value")).cast("decimal(18,2)").alias("value"))
     per_minute = latest.groupBy("service", F.window(F.window_time("m"), "1 minute").alias("m")).agg(F.sum("value").alias("value"))
     return _at_ticks(per_minute.groupBy("service", _sliding(F.window_time("m"), width)).agg(F.min("value").cast("double").alias("observed")), threshold)
+
+
+def minute_sketches(samples: DataFrame, late: str = LATE) -> DataFrame:
+    """Streaming twin of ``sketches.per_minute``: a minute's row once the watermark has passed it, to be stored and rolled up."""
+    windowed = _timed(samples, late).groupBy("service", F.window("at", "1 minute").alias("w")).agg(*sketches.folded())
+    return windowed.select("service", _plain(F.col("w.start")).alias("period"), "samples", "highest", "total", "sketch")
