@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from peakledger.functions import names
 from peakledger.plans import ingest
+from peakledger.sources import listing_stream
 from peakledger.sources.files import utc
 from peakledger.streaming.evaluator import utc_now
 from peakledger.streaming.warehouse import Warehouse
@@ -26,11 +27,16 @@ def file_stream(spark: SparkSession, root: str, files_per_batch: int | None = No
 
 def run(spark: SparkSession, root: str, warehouse: Warehouse, topic_root: str, checkpoint: str, reason: str = "live",
         name: str = "producer", always: bool = False, files_per_batch: int | None = None, now=utc_now,
-        metrics: str | None = None):
-    """Live and backfill are the same job; the reason tells them apart."""
+        metrics: str | None = None, listing: dict | None = None):
+    """Live and backfill are the same job; the reason tells them apart.
+
+    With ``listing`` (options of ``listing_stream.listed``) new files are found by the index pages under ``root``, and their publish times
+    are those of the pages; otherwise by the folders.
+    """
     def send(batch: DataFrame, batch_id: int) -> None:
         ingest.deliver(batch, warehouse, topic_root, reason, now(), f"{name}-{batch_id}", metrics=metrics)
 
     trigger = {"processingTime": "10 minutes"} if always else {"availableNow": True}
-    return (file_stream(spark, root, files_per_batch).writeStream.queryName(name).foreachBatch(send)
+    found = file_stream(spark, root, files_per_batch) if listing is None else listing_stream.file_stream(spark, root, **listing)
+    return (found.writeStream.queryName(name).foreachBatch(send)
             .option("checkpointLocation", checkpoint).trigger(**trigger).start())
