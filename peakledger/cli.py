@@ -29,10 +29,11 @@ def show(rows: DataFrame) -> list[dict]:
 
 
 def produce(spark, a):
-    """Send what is new in the files. --always keeps following the folder."""
+    """Send what is new in the files. --always keeps following the folder, or with --pages the index pages in it."""
     house = Warehouse(spark, a.house)
-    if a.always:
-        producer.run(spark, a.files, house, a.topics, a.checkpoint, a.mode, always=True, metrics=a.metrics).awaitTermination()
+    if a.always or a.pages:
+        producer.run(spark, a.files, house, a.topics, a.checkpoint, a.mode, always=a.always, metrics=a.metrics,
+                     listing={} if a.pages else None).awaitTermination()
         return 0
     now = utc_now()
     out = ingest.run(files.list_files(spark, a.files), house, a.topics, a.mode, now, f"{a.mode}-{now:%Y%m%dT%H%M%S%f}", metrics=a.metrics)
@@ -152,6 +153,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         sub.add_argument("--files-per-batch", type=int)
         sub.add_argument("--always", action="store_true")
         sub.add_argument("--append", action="store_true")
+        sub.add_argument("--pages", action="store_true")
     args = parser.parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"peakledger-{args.command}").getOrCreate()
     return COMMANDS[args.command][0](spark, args) or 0

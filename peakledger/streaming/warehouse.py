@@ -34,6 +34,11 @@ REMOVABLE = {RAW: ["report", "interval_start"], CURRENT: ["report", "interval_st
 FIRST, LAST = date(1000, 1, 1), date(9999, 12, 31)
 
 
+def days_of(rows: DataFrame, moment: str) -> DataFrame:
+    """The days of a batch, one row each. The calendar bounds them (3.3 million from FIRST to LAST, 4 bytes each), so they can be broadcast."""
+    return rows.select(F.col(moment).cast("date").alias("day")).where(F.col("day").between(F.lit(FIRST), F.lit(LAST))).distinct()
+
+
 def utc_now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -53,14 +58,15 @@ class Warehouse:
         path = f"{self.root}/{table}"
         return self.spark.read.schema(schema).parquet(path) if self._exists(path) else self.spark.createDataFrame([], schema)
 
-    def rows(self, table: str, first: date = FIRST, last: date = LAST, days: list[date] | None = None, written: bool = False) -> DataFrame:
+    def rows(self, table: str, first: date = FIRST, last: date = LAST, days: DataFrame | None = None, written: bool = False) -> DataFrame:
         """All rows of the days that no later removal hides, as appended; ``written`` keeps the instant of the write.
 
-        The conditions on days are on the partition column: other days are not read.
+        The conditions on days are on the partition column: other days are not read. ``days`` (column day, from ``days_of``) is joined to
+        it, so Spark finds out at run time which partitions there are to read.
         """
         found = self._stored(table).where(F.col("day").between(F.lit(first), F.lit(last)))
         if days is not None:
-            found = found.where(F.col("day").isin(days))
+            found = found.join(F.broadcast(days), "day", "left_semi")
         if table in REMOVABLE and self._exists(f"{self.root}/{REMOVED}"):
             keys = REMOVABLE[table]
             gone = self._stored(REMOVED).where(F.col("table_name") == table).groupBy(*keys).agg(F.max("written_at").alias("gone_at"))
@@ -111,9 +117,9 @@ class Warehouse:
         if not batch.where(" OR ".join(f"{c} IS NULL" for c in (*CURRENT_KEY, "version"))).isEmpty():
             raise ValueError("an event without report, interval, zone or version")
         loaded = batch if "loaded_at" in batch.columns else batch.withColumn("loaded_at", F.lit(utc_now().replace(microsecond=0)).cast("timestamp_ntz"))
-        days = [r["day"] for r in loaded.select(F.col("interval_start").cast("date").alias("day")).distinct().collect()]  # the calendar bounds it
-        if not days:
+        if loaded.isEmpty():
             return False
+        days = days_of(loaded, "interval_start")
         keys = loaded.select(*CURRENT_KEY).distinct()
         held = merge.latest_versions(self.rows(CURRENT, days=days).join(keys, CURRENT_KEY, "left_semi"))
         # Raw first: a write that ends between the two is completed by the next try.
@@ -123,8 +129,7 @@ class Warehouse:
 
     def unannounced(self, rows: DataFrame) -> DataFrame:
         """Decisions that the table of signals does not hold yet, each once."""
-        days = [r["day"] for r in rows.select(F.col("candidate_hour").cast("date").alias("day")).distinct().collect()]
-        return merge.new_signals(self.rows(SIGNALS, days=days), rows)
+        return merge.new_signals(self.rows(SIGNALS, days=days_of(rows, "candidate_hour")), rows)
 
     def write_signals(self, rows: DataFrame) -> None:
         """Insert decisions that are not in the table yet."""

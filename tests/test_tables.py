@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from peakledger.functions.events import TABLE_SCHEMA
 from peakledger.operators import merge, quality, reconcile
+from peakledger.streaming import warehouse
 from peakledger.streaming.warehouse import CURRENT, RAW, Warehouse
 
 T = datetime(2026, 9, 28, 12)
@@ -67,6 +68,18 @@ def test_a_batch_that_comes_again_changes_nothing(spark, tmp_path):
     assert [r["version"] for r in house.current().collect()] == [3]
 
 
+def test_a_batch_opens_its_own_days_only(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    batches = [frame(spark, [row(start=T + timedelta(days=d), value=d)]) for d in range(4)]
+    for batch in batches:
+        house.write_batch(batch)
+    days = warehouse.days_of(batches[2].unionByName(batches[2]), "interval_start")
+    kept = house.rows(RAW, days=days)
+    assert "dynamicpruning" in kept._jdf.queryExecution().toString()
+    assert [r["value_mw"] for r in kept.collect()] == [2.0]
+    assert house.write_batch(batches[0].limit(0)) is False and house.raw().count() == 4
+
+
 def test_delete_and_truncate(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "w"))
     days = [T + timedelta(days=d) for d in range(3)]
