@@ -1,12 +1,16 @@
 """Versioned tables: keyed merges, keyed deletes, checksums.
 
 The functions are pure: stored table and batch in, rows out. ``streaming.warehouse`` writes what they return.
-Ranks run as row_number filters, which Spark cuts down per map task before the shuffle (WindowGroupLimit), so a key
-with very many copies never travels whole.
+``best`` runs as a row_number filter, which Spark cuts down per map task before the shuffle (WindowGroupLimit); that sorts every
+map task. Whole topics go through ``held``: rows are shuffled as they come, once for any number of tables, and only intervals
+with very many rows are cut down before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from peakledger.functions import clock
@@ -17,6 +21,10 @@ FIRST_SEEN = ["ingested_at", "published_at", "source_uri", "value_mw"]
 LAST_SEEN = ["-version", "-ingested_at", "-published_at", "-source_uri", "-value_mw"]
 
 
+BUCKETS = 1 << 16  # of intervals, by hash: their counts are one small row each
+FULL = 1_000_000   # a bucket with more rows is cut down per map task before its rows meet
+
+
 def _order(names: list[str]) -> list[Column]:
     return [F.desc(n[1:]) if n.startswith("-") else F.asc(n) for n in names]
 
@@ -27,14 +35,70 @@ def best(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
             .where(F.col("_rn") == 1).drop("_rn"))
 
 
+class Held(NamedTuple):
+    """The rows of one topic that a table holds: of each key the first in ``order``, among the rows of which ``among`` is true."""
+    keys: list[str | Column]
+    order: list[Column]
+    among: Column
+
+
+def first_held(among: Column | None = None) -> Held:
+    """What ``first_versions`` keeps of the rows of which ``among`` is true."""
+    return Held(RAW_KEY, _order(FIRST_SEEN), F.lit(True) if among is None else among)
+
+
+def latest_held(among: Column | None = None) -> Held:
+    """What ``latest_versions`` keeps of the rows of which ``among`` is true."""
+    return Held(CURRENT_KEY, _order(LAST_SEEN), F.lit(True) if among is None else among)
+
+
+def raw_merged(old: Column) -> Held:
+    """What ``merge_raw`` makes of the first versions of the rows with ``old`` true and a batch of those with ``old`` false.
+
+    A key with a null is never found in the table, so there both sides keep their own.
+    """
+    nowhere = reduce(Column.__or__, [F.col(k).isNull() for k in RAW_KEY])
+    return Held([*RAW_KEY, F.when(nowhere, old)], [old.desc(), *_order(FIRST_SEEN)], old.isNotNull())
+
+
+def current_merged(old: Column) -> Held:
+    """What ``merge_current`` makes of the latest versions of the rows with ``old`` true and a batch of those with ``old`` false."""
+    return Held(CURRENT_KEY, [*_order(LAST_SEEN[:2]), old.desc(), *_order(LAST_SEEN[2:])], old.isNotNull())
+
+
+def _marked(topic: DataFrame, tables: dict[str, Held], within: list[str]) -> DataFrame:
+    """The rows that some table holds, with a boolean column per table; ``within`` names further columns of every key."""
+    for name, held in tables.items():
+        among = F.coalesce(held.among, F.lit(False))
+        rank = F.row_number().over(Window.partitionBy(*held.keys, *within, among).orderBy(*held.order))
+        topic = topic.withColumn(name, among & (rank == 1))
+    return topic.where(reduce(Column.__or__, [F.col(name) for name in tables]))
+
+
+def held(topic: DataFrame, tables: dict[str, Held], full: int | None = None) -> DataFrame:
+    """The rows of the topic that some table holds, with a boolean column per table that says whether it does.
+
+    One shuffle by interval serves all tables, as every key begins with the interval; no map task sorts. Intervals of buckets with
+    more than ``full`` rows are first cut down to what can still be held, per map task, so that no task meets all their copies.
+    """
+    bucket = F.pmod(F.xxhash64(*CURRENT_KEY), F.lit(BUCKETS)).alias("_bucket")
+    many = topic.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > (FULL if full is None else full))
+    many = F.broadcast(many.select("_bucket"))  # BUCKETS rows at most
+    rows = topic.withColumn("_bucket", bucket)
+    cold = rows.join(many, "_bucket", "left_anti")
+    hot = rows.join(many, "_bucket", "left_semi").withColumn("_task", F.spark_partition_id())
+    cut = _marked(hot.repartition(*CURRENT_KEY, "_task"), tables, ["_task"])
+    return _marked(cold.unionByName(cut.select(*cold.columns)).drop("_bucket").repartition(*CURRENT_KEY), tables, [])
+
+
 def first_versions(batch: DataFrame) -> DataFrame:
     """Each (report, interval, zone, version) once: the first seen wins."""
-    return best(batch, RAW_KEY, FIRST_SEEN)
+    return held(batch, {"_held": first_held()}).drop("_held")
 
 
 def latest_versions(batch: DataFrame) -> DataFrame:
     """Each interval once: newest version, and of equal versions the last seen."""
-    return best(batch, CURRENT_KEY, LAST_SEEN)
+    return held(batch, {"_held": latest_held()}).drop("_held")
 
 
 def new_raw_rows(stored: DataFrame, batch: DataFrame) -> DataFrame:
@@ -104,17 +168,32 @@ def checksum(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(row).alias("checksum"))
 
 
+def hashes(columns: list[str]) -> list[Column]:
+    """``_a`` and ``_b``: 128 bits over the columns, nulls counted, as a hash alone passes over them."""
+    return [F.xxhash64(*columns).alias("_a"), F.xxhash64(*[F.col(c).isNull() for c in columns], *columns).alias("_b")]
+
+
+def compare_held(rows: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
+    """table_name, n_rows, differing for each pair of tables, named by their boolean columns in ``rows``; see ``compare``.
+
+    ``rows`` have RAW_KEY, ``_a`` and ``_b``. As ``held`` leaves them they lie by interval, and are counted where they are.
+    """
+    has = {name: F.col(name).cast("int") for name in {c for pair in pairs.values() for c in pair}}
+    counts = rows.groupBy(*RAW_KEY, "_a", "_b").agg(*[c for i, (left, right) in enumerate(pairs.values()) for c in (
+        F.sum(has[left] - has[right]).alias(f"_surplus{i}"), F.sum(has[right]).alias(f"_right{i}"))])
+    sums = counts.agg(*[c for i in range(len(pairs)) for c in (
+        F.coalesce(F.sum(f"_right{i}"), F.lit(0)).cast("bigint").alias(f"n{i}"), F.count_if(F.col(f"_surplus{i}") != 0).alias(f"d{i}"))])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table_name"), F.col(f"n{i}").alias("n_rows"), F.col(f"d{i}").alias("differing"))
+                                          for i, name in enumerate(pairs)])))
+
+
 def compare(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
     """One row: n_rows of the right table, and ``differing``, the number of different rows that one table holds more often.
 
     One signed pass over both. Rows travel as their key and a 128-bit hash of the columns, so long texts stay behind.
     """
-    missing = [F.col(c).isNull() for c in columns]  # a hash passes over nulls
-    hashes = [F.xxhash64(*columns).alias("_a"), F.xxhash64(*missing, *columns).alias("_b")]
-    signed = (left.select(*RAW_KEY, *hashes, F.lit(1).alias("_s"))
-              .unionByName(right.select(*RAW_KEY, *hashes, F.lit(-1).alias("_s"))))
-    rows = signed.groupBy(*RAW_KEY, "_a", "_b").agg(F.sum("_s").alias("_surplus"), F.count_if(F.col("_s") < 0).alias("_right"))
-    return rows.agg(F.coalesce(F.sum("_right"), F.lit(0)).cast("bigint").alias("n_rows"), F.count_if(F.col("_surplus") != 0).alias("differing"))
+    sides = [t.select(*RAW_KEY, *hashes(columns), F.lit(at == 0).alias("_left"), F.lit(at == 1).alias("_right")) for at, t in enumerate((left, right))]
+    return compare_held(sides[0].unionByName(sides[1]), {"": ("_left", "_right")}).drop("table_name")
 
 
 def difference(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
