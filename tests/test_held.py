@@ -50,7 +50,7 @@ def test_held_rows_are_those_of_the_merges(spark, full):
         assert shown(kept.where(name).drop(*TABLES)) == shown(table), name
 
 
-@pytest.mark.parametrize("name", ["merge_current"])
+@pytest.mark.parametrize("name", ["merge_current", "merge_raw_versions"])
 def test_no_map_task_of_a_merge_sorts(spark, name):
     """Sorting a map task spills it; only intervals with very many rows are cut down before they meet."""
     feed = spark.createDataFrame(rows(), ROW)
