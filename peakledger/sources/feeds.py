@@ -68,8 +68,12 @@ def versioned_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(name, 256).alias("content_sha256"), reason.alias("reason"))
 
 
+def is_early(split: str = "1998-01-01") -> Column:
+    return F.col("ingested_at") < F.lit(split).cast("timestamp_ntz")
+
+
 def two_batches(feed: DataFrame, split: str = "1998-01-01") -> tuple[DataFrame, DataFrame]:
-    early = F.col("ingested_at") < F.lit(split).cast("timestamp_ntz")
+    early = is_early(split)
     return feed.where(early), feed.where(~early)
 
 

@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from peakledger.functions.events import CURRENT_KEY, RAW_KEY
 from peakledger.operators import merge
 
@@ -58,3 +59,23 @@ def test_no_map_task_of_a_merge_sorts(spark, name):
     plan = out._jdf.queryExecution().executedPlan().toString()
     cold = plan[plan.index("REPARTITION_BY_COL"):plan.index("LeftSemi")]  # below the last shuffle, down to the full buckets
     assert "WindowGroupLimit" not in cold.split("Exchange hashpartitioning")[0] and "LeftAnti" in cold.split("Exchange hashpartitioning")[0]
+
+
+def lineitem(spark, folder):
+    pick = random.Random(3)
+    day = datetime(1997, 11, 1)
+    data = [(pick.randrange(3000), pick.randrange(50), pick.randrange(80), 1 + pick.randrange(7), 1.0, float(pick.randrange(2000)), 0.0, 0.0,
+             pick.choice("ANR"), "O", day + timedelta(days=pick.randrange(120))) for _ in range(3000)]
+    spark.createDataFrame(data, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").coalesce(1).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_replay_shuffles_the_topic_once(spark, tmp_path):
+    """Both merges, both rebuilds of both topics and the comparisons share one shuffle (and one of full buckets)."""
+    out = entry.queries()["replay_equivalence"](spark, lineitem(spark, tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(interval_start") == 2
+    got = {r["table_name"]: (r["n_rows"], r["differing"]) for r in out.collect()}
+    whole, lost = [[v for k, v in got.items() if ("lost" in k) == at] for at in (False, True)]
+    assert all(n > 0 and d == 0 for n, d in whole) and all(n > 0 and d > 0 for n, d in lost)
