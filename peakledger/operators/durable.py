@@ -25,14 +25,14 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+def stored(df: DataFrame, label: str, by: str | None = None, codec: str | None = None) -> DataFrame:
     """Written to the shared folder as Parquet and read back, so that its size is known to the plans that use it.
 
     ``by`` names a column to partition by; its rows are brought together first, and a value that holds much is split at run time.
     """
     folder = f"{shared_dir(df.sparkSession).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     if by is None:
-        df.write.parquet(folder)
+        df.write.parquet(folder, compression=codec)
     else:
-        df.hint("rebalance", by).write.partitionBy(by).parquet(folder)
+        df.hint("rebalance", by).write.partitionBy(by).parquet(folder, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

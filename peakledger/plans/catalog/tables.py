@@ -174,12 +174,15 @@ def _surplus_sql(left, right):
 
 
 def stored_pairs(spark, sf):
-    """Both demand tables of all events and of the topic with losses, stored once as each is read twice."""
+    """Both demand tables of all events and of the topic with losses. Most rows are in all four: they are stored once, with the
+    tables that hold them, as each table is read twice."""
     feed = versioned_events(spark, sf)
-    topics = (feed, feed.where(f"NOT ({LOST.replace('TIMESTAMP ', 'TIMESTAMP_NTZ ')})"))
-    day = F.col("interval_start").cast("date")
-    return {name: [stored(rebuild(topic).select(*COLUMNS, day.alias("day")), "compared") for topic in topics]
-            for name, rebuild in (("raw_demand_versions", merge.first_versions), ("current_demand", merge.latest_versions))}
+    short = F.expr(f"NOT ({LOST.replace('TIMESTAMP ', 'TIMESTAMP_NTZ ')})")
+    pairs = {"raw_demand_versions": {"raw_all": merge.first_held(), "raw_short": merge.first_held(short)},
+             "current_demand": {"current_all": merge.latest_held(), "current_short": merge.latest_held(short)}}
+    rows = merge.held(feed, {name: table for pair in pairs.values() for name, table in pair.items()})
+    kept = stored(rows.withColumn("day", F.col("interval_start").cast("date")), "compared", codec="zstd")
+    return {name: [kept.where(table).select(*COLUMNS, "day") for table in pair] for name, pair in pairs.items()}
 
 
 @register("differing_rows", f"""WITH {TABLE_PAIRS}

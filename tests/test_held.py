@@ -79,3 +79,12 @@ def test_replay_shuffles_the_topic_once(spark, tmp_path):
     got = {r["table_name"]: (r["n_rows"], r["differing"]) for r in out.collect()}
     whole, lost = [[v for k, v in got.items() if ("lost" in k) == at] for at in (False, True)]
     assert all(n > 0 and d == 0 for n, d in whole) and all(n > 0 and d > 0 for n, d in lost)
+
+
+@pytest.mark.parametrize("name, label", [("differing_rows", "/compared-")])
+def test_tables_of_a_topic_are_stored_once(spark, tmp_path, name, label):
+    """All tables that a query compares or checks come out of one pass and lie in one folder."""
+    out = entry.queries()[name](spark, lineitem(spark, tmp_path))
+    folders = {f.rsplit("/", 1)[0] for f in out.inputFiles() if "/buckets-" not in f}
+    assert len(folders) == 1 and label in folders.pop()
+    assert out.count() > 0
