@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from peakledger.functions import clock, events, names
 from peakledger.functions.events import ZONE
 from peakledger.operators import merge
+from peakledger.operators.durable import stored
 
 REPORTS = ("RealtimeTotals", "PredispTotals", "ICIDemand")
 
@@ -103,7 +104,7 @@ def hourly_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kept_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(raw, current) as a store with faults might hold them.
+    """(raw, current) as a store with faults might hold them, in the columns that checks read; both come out of one stored pass.
 
     Real-time intervals lie six to one of the feed's, so that most days are full. The current table never saw the seventh
     versions of the reconciliation, holds some rows twice, and some values of the other reports in the wrong unit.
@@ -112,13 +113,15 @@ def kept_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     slot = F.floor(clock.seconds_between(base, F.col("interval_start")) / 1800).cast("int")
     start = F.when(F.col("report") == "RealtimeTotals", base + clock.minutes(slot * 5)).otherwise(F.col("interval_start"))
     feed = feed.withColumn("interval_start", start)
-    held = merge.latest_versions(feed.where(~((F.col("reason") == "reconciliation") & (F.col("version") == 7))))
+    seen = ~((F.col("reason") == "reconciliation") & (F.col("version") == 7))
+    rows = merge.held(feed, {"_raw": merge.first_held(), "_current": merge.latest_held(seen)})
+    kept = stored(rows.select(*events.RAW_KEY, "value_mw", "_raw", "_current"), "kept")
     whole = F.floor("value_mw")
     twice = F.when(whole % 50 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     wrong = (F.col("report") != "ICIDemand") & (whole % 97 == 0)
-    current = held.withColumn("_copy", F.explode(twice)).drop("_copy").withColumn(
+    current = kept.where("_current").withColumn("_copy", F.explode(twice)).drop("_copy", "_raw", "_current").withColumn(
         "value_mw", F.when(wrong, F.col("value_mw") * 100).otherwise(F.col("value_mw")))
-    return merge.first_versions(feed), current
+    return kept.where("_raw").drop("_raw", "_current"), current
 
 
 def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:

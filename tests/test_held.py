@@ -81,7 +81,7 @@ def test_replay_shuffles_the_topic_once(spark, tmp_path):
     assert all(n > 0 and d == 0 for n, d in whole) and all(n > 0 and d > 0 for n, d in lost)
 
 
-@pytest.mark.parametrize("name, label", [("differing_rows", "/compared-"), ("difference_levels", "/compared-")])
+@pytest.mark.parametrize("name, label", [("differing_rows", "/compared-"), ("difference_levels", "/compared-"), ("quality_report", "/kept-")])
 def test_tables_of_a_topic_are_stored_once(spark, tmp_path, name, label):
     """All tables that a query compares or checks come out of one pass and lie in one folder."""
     out = entry.queries()[name](spark, lineitem(spark, tmp_path))
