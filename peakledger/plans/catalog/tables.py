@@ -173,16 +173,21 @@ def _surplus_sql(left, right):
     return f"SELECT {NAMES}, CAST(sum(s) AS BIGINT) AS surplus FROM (SELECT {NAMES}, 1 AS s FROM {left} UNION ALL SELECT {NAMES}, -1 FROM {right}) GROUP BY ALL HAVING sum(s) <> 0"
 
 
-def stored_pairs(spark, sf):
-    """Both demand tables of all events and of the topic with losses. Most rows are in all four: they are stored once, with the
-    tables that hold them, as each table is read twice."""
-    feed = versioned_events(spark, sf)
+def stored_pairs(spark, sf, columns):
+    """Both demand tables of all events and of the topic with losses, in the given columns and ``day``. Most rows are in all four: they
+    are stored once, with the tables that hold them, as each table is read twice.
+
+    A column ``row`` is the hash of a whole row, taken before the rows are shuffled: with it, what no merge looks at stays behind.
+    """
     short = F.expr(f"NOT ({LOST.replace('TIMESTAMP ', 'TIMESTAMP_NTZ ')})")
-    pairs = {"raw_demand_versions": {"raw_all": merge.first_held(), "raw_short": merge.first_held(short)},
-             "current_demand": {"current_all": merge.latest_held(), "current_short": merge.latest_held(short)}}
-    rows = merge.held(feed, {name: table for pair in pairs.values() for name, table in pair.items()})
-    kept = stored(rows.withColumn("day", F.col("interval_start").cast("date")), "compared", codec="zstd")
-    return {name: [kept.where(table).select(*COLUMNS, "day") for table in pair] for name, pair in pairs.items()}
+    feed = versioned_events(spark, sf).withColumns({"short": short, "row": difference.row_hash(COLUMNS)})
+    feed = feed.select(*dict.fromkeys([*RAW_KEY, *merge.FIRST_SEEN, "short", *columns]))
+    pairs = {"raw_demand_versions": {"raw_all": merge.first_held(), "raw_short": merge.first_held(F.col("short"))},
+             "current_demand": {"current_all": merge.latest_held(), "current_short": merge.latest_held(F.col("short"))}}
+    tables = {name: table for pair in pairs.values() for name, table in pair.items()}
+    rows = merge.held(feed, tables).select(*columns, *tables, F.col("interval_start").cast("date").alias("day"))
+    kept = stored(rows, "compared", codec="zstd")
+    return {name: [kept.where(table).select(*columns, "day") for table in pair] for name, pair in pairs.items()}
 
 
 @register("differing_rows", f"""WITH {TABLE_PAIRS}
@@ -191,7 +196,7 @@ UNION ALL SELECT 'current_demand', * FROM ({_surplus_sql('cur_all', 'cur_short')
 def differing_rows(spark, sf):
     """The rows in which stored tables differ, named one by one; only days whose sums are unequal are compared."""
     parts = [difference.differing_rows(*pair, COLUMNS).select(F.lit(name).alias("table_name"), *COLUMNS, "surplus")
-             for name, pair in stored_pairs(spark, sf).items()]
+             for name, pair in stored_pairs(spark, sf, COLUMNS).items()]
     return parts[0].unionByName(parts[1])
 
 
@@ -207,8 +212,8 @@ def _levels_sql(name, left, right):
 {_levels_sql('raw_demand_versions', 'raw_all', 'raw_short')} UNION ALL {_levels_sql('current_demand', 'cur_all', 'cur_short')}""")
 def difference_levels(spark, sf):
     """How many reports, zones and days hold a difference, from sums alone."""
-    parts = [difference.levels(difference.compared(*[difference.day_sums(t, COLUMNS) for t in pair])).select(F.lit(name).alias("table_name"), "*")
-             for name, pair in stored_pairs(spark, sf).items()]
+    parts = [difference.levels(difference.compared(*[difference.day_sums(t, ["row"]) for t in pair])).select(F.lit(name).alias("table_name"), "*")
+             for name, pair in stored_pairs(spark, sf, ["report", "zone", "row"]).items()]
     return parts[0].unionByName(parts[1])
 
 

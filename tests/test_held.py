@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from peakledger.functions.events import CURRENT_KEY, RAW_KEY
-from peakledger.operators import merge
+from peakledger.operators import difference, merge
+from peakledger.plans.catalog import tables
 
 ROW = ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
        "ingested_at timestamp_ntz, source_uri string, reason string")
@@ -88,3 +89,17 @@ def test_tables_of_a_topic_are_stored_once(spark, tmp_path, name, label):
     folders = {f.rsplit("/", 1)[0] for f in out.inputFiles() if "/buckets-" not in f}
     assert len(folders) == 1 and label in folders.pop()
     assert out.count() > 0
+
+
+def test_levels_carry_a_hash_in_place_of_the_texts(spark, tmp_path):
+    """Sums need no more of a row than its hash, so digests are neither shuffled nor stored; the levels are those of whole rows."""
+    sf = lineitem(spark, tmp_path)
+    out = entry.queries()["difference_levels"](spark, sf)
+    kept = spark.read.parquet(out.inputFiles()[0].rsplit("/", 1)[0])
+    assert "row" in kept.columns and not {"content_sha256", "source_uri", "value_mw"} & set(kept.columns)
+    expected = []
+    for name, (left, right) in tables.stored_pairs(spark, sf, tables.COLUMNS).items():
+        both = left.unionByName(right).select(*difference.BUCKET).distinct().collect()
+        off = left.exceptAll(right).unionByName(right.exceptAll(left)).select(*difference.BUCKET).distinct().collect()
+        expected += [(name, level, *[len({tuple(r)[:n] for r in found}) for found in (both, off)]) for n, level in enumerate(["report", "zone", "day"], 1)]
+    assert sorted(map(tuple, out.collect())) == sorted(expected) and all(0 < e[3] <= e[2] for e in expected)
