@@ -1,5 +1,6 @@
 """Tables of a topic out of one shuffle, against plain merges of every row."""
 
+import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from peakledger.functions.events import CURRENT_KEY, RAW_KEY
 from peakledger.operators import difference, merge
+from peakledger.operators.merge import Held
 from peakledger.plans.catalog import tables
 
 ROW = ("report string, interval_start timestamp_ntz, zone string, version bigint, value_mw double, published_at timestamp_ntz, "
@@ -103,3 +105,24 @@ def test_levels_carry_a_hash_in_place_of_the_texts(spark, tmp_path):
         off = left.exceptAll(right).unionByName(right.exceptAll(left)).select(*difference.BUCKET).distinct().collect()
         expected += [(name, level, *[len({tuple(r)[:n] for r in found}) for found in (both, off)]) for n, level in enumerate(["report", "zone", "day"], 1)]
     assert sorted(map(tuple, out.collect())) == sorted(expected) and all(0 < e[3] <= e[2] for e in expected)
+
+
+@pytest.mark.parametrize("full", [None, 0])
+def test_digests_travel_as_bytes_and_come_back_as_they_were(spark, full):
+    """Any text, whether its digits are hex, whole or in lower case; tables may still choose among rows by it."""
+    texts = [hashlib.sha256(b"1").hexdigest(), hashlib.sha256(b"2").hexdigest().upper(), "abc", "0", "", "no digest", "é", " ab", "ab\n", None]
+    feed = spark.createDataFrame([(*r, texts[i % 10]) for i, r in enumerate(rows())], f"{ROW}, content_sha256 string").repartition(5)
+    tables = {"each": Held([*RAW_KEY, "content_sha256"], [F.col("content_sha256").asc()], F.lit(True)),
+              "some": Held([*RAW_KEY, "content_sha256"], [F.col("content_sha256").asc()], F.col("content_sha256").isin(*texts[:3]))}
+    out = merge.held(feed, tables, full)
+    kept = [tuple(r) for r in out.where("each").select(*RAW_KEY, "content_sha256").collect()]
+    assert out.columns == [*feed.columns, *tables] and set(kept) == {tuple(r) for r in feed.select(*RAW_KEY, "content_sha256").collect()}
+    assert len(kept) == len(set(kept)) and {r["content_sha256"] for r in out.where("some").collect()} == set(texts[:3])
+
+
+def test_merged_rows_are_shuffled_with_their_digest_as_bytes(spark, tmp_path):
+    out = entry.queries()["merge_raw_versions"](spark, lineitem(spark, tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("REPARTITION_BY_COL"):]
+    assert "unhex(" in below and "unhex(" not in plan[:plan.index("REPARTITION_BY_COL")]
+    assert all(len(r["content_sha256"]) == 64 for r in out.collect())
